@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from . import frequency, lookalikes
+from . import frequency, lookalikes, neighbours
 
-_MODULES = [frequency, lookalikes]
+_MODULES = [frequency, lookalikes, neighbours]
 
 
 def queries() -> dict:

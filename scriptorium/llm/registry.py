@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from . import frequency, lookalikes, neighbours
+from . import frequency, lookalikes, mixing, neighbours, packing
 
-_MODULES = [frequency, lookalikes, neighbours]
+_MODULES = [frequency, lookalikes, neighbours, packing, mixing]
 
 
 def queries() -> dict:

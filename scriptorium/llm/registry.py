@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from . import frequency, lookalikes, mixing, neighbours, packing, spam
+from . import encoding, frequency, lookalikes, mixing, neighbours, packing, spam
 
-_MODULES = [frequency, lookalikes, neighbours, packing, spam, mixing]
+_MODULES = [encoding, frequency, lookalikes, neighbours, packing, spam, mixing]
 
 
 def queries() -> dict:

@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from . import encoding, frequency, lookalikes, mixing, neighbours, packing, spam
+from . import encoding, frequency, lookalikes, mixing, neighbours, packing, scans, spam
 
-_MODULES = [encoding, frequency, lookalikes, neighbours, packing, spam, mixing]
+_MODULES = [encoding, frequency, lookalikes, neighbours, packing, spam, mixing, scans]
 
 
 def queries() -> dict:

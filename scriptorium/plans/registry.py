@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from . import corpus
+from . import corpus, library
 
-_MODULES = [corpus]
+_MODULES = [library, corpus]
 
 
 def queries() -> dict:

@@ -30,6 +30,7 @@ FLOOR = 1e-6  # probability of a character never seen in right text
 NEW = 1e-9  # the same where it would come from undoing a chain
 LOST_P = 1e-3  # probability of a place that can't be restored
 PULL = 2.0  # weight of the prior of chains, in runs
+BUCKET = 20_000
 LONGEST = 256  # a longer run is judged by its parts of this length
 _RUN = re.compile(r"[^\x00-\x7f]+")
 
@@ -106,24 +107,23 @@ def readings(run: str) -> tuple[tuple[int, str], ...]:
     return tuple(out)
 
 
-def _runs(text: str) -> list[str]:
+_CAPITALS = re.compile(r"(?:(?<=[A-Z])[^\x00-\x7f](?![a-z])|(?<![a-z])[^\x00-\x7f](?=[A-Z]))")
+
+
+def runs_of(text: str) -> Counter:
     """The non-ASCII runs of a text. A capital on its own in a word of capitals is right text and
-    comes with its neighbour, which no chain explains."""
-    out = []
-    for m in _RUN.finditer(text):
-        r = m[0]
-        if len(r) == 1:
-            if r.isupper():
-                a, b = m.span()
-                near = text[max(0, a - 1) : a] + text[b : b + 1]
-                if any("A" <= c <= "Z" for c in near) and not any("a" <= c <= "z" for c in near):
-                    r = "A" + r
-            out.append(r)
-        elif len(r) <= LONGEST:
-            out.append(r)
-        else:
-            out.extend(r[i : i + LONGEST] for i in range(0, len(r), LONGEST))
-    return out
+    counted with a letter before it, which no chain explains."""
+    runs = Counter(_RUN.findall(text))
+    for r in [r for r in runs if len(r) > LONGEST]:
+        n = runs.pop(r)
+        for i in range(0, len(r), LONGEST):
+            runs[r[i : i + LONGEST]] += n
+    for r in [r for r in runs if len(r) == 1 and r.isupper() and readings(r)]:
+        k = sum(m[0] == r and not _RUN.match(text[m.end() : m.end() + 1]) and not _RUN.match(text[max(0, m.start() - 1) : m.start()]) for m in _CAPITALS.finditer(text))
+        if k:
+            runs["A" + r] = k
+            runs[r] -= k
+    return +runs
 
 
 def scan(rows: DataFrame) -> DataFrame:
@@ -133,12 +133,14 @@ def scan(rows: DataFrame) -> DataFrame:
 
     def run(batches):
         for pdf in batches:
+            if not len(pdf):
+                continue
             right: Counter = Counter()
             runs, counts = [], []
             for t in pdf["text"]:
                 mine: Counter = Counter()
                 if t is not None and not t.isascii():
-                    for r, n in Counter(_runs(t)).items():
+                    for r, n in runs_of(t).items():
                         if readings(r):
                             mine[r] = n
                         else:
@@ -158,51 +160,91 @@ def _score(model: dict[str, float], s: str, floor: float = FLOOR) -> float:
     return sum(np.log(LOST_P if c == LOST else 1.0 if c < "\x80" else max(floor, model.get(c, 0.0))) for c in s)
 
 
-def _posterior(runs: list[str], n: np.ndarray, model: dict[str, float]) -> tuple[np.ndarray, list[dict[int, str]], np.ndarray]:
-    """EM for the shares of the chains of one source and field. Column 0 is right text."""
-    like = np.full((len(runs), len(CHAINS) + 1), -np.inf)
-    before: list[dict[int, str]] = []
-    for i, r in enumerate(runs):
-        like[i, 0] = _score(model, r) if LOST not in r else -60.0
-        before.append(dict(readings(r)))
-        for c, s in before[-1].items():
-            like[i, c + 1] = _score(model, s, NEW)
-    prior = np.full(len(CHAINS) + 1, 0.1 / len(CHAINS))
-    prior[0] = 0.9
-    pi = prior.copy()
-    for _ in range(INNER):
-        w = like + np.log(pi)
-        w = np.exp(w - w.max(axis=1, keepdims=True))
-        w /= w.sum(axis=1, keepdims=True)
-        pi = (n @ w + PULL * prior) / (n.sum() + PULL)
-    return w, before, pi
+CERTAIN = 15.0  # so many nats ahead of all chains a run is right text whatever its source
+
+
+class _Evidence:
+    """Likelihoods of runs under right text (column 0) and the chains, each run scored once."""
+
+    def __init__(self, model: dict[str, float]) -> None:
+        self.model, self.seen = model, {}
+
+    def of(self, run: str):
+        got = self.seen.get(run)
+        if got is None:
+            before = dict(readings(run))
+            like = np.full(len(CHAINS) + 1, -np.inf)
+            like[0] = _score(self.model, run) if LOST not in run else -60.0
+            for c, s in before.items():
+                like[c + 1] = _score(self.model, s, NEW)
+            got = self.seen[run] = (like, before, like[0] - like[1:].max(initial=-np.inf) > CERTAIN)
+        return got
+
+    def posterior(self, pdf: pd.DataFrame):
+        """Places of the runs that aren't certain, their posteriors and readings.
+
+        EM for the shares of the chains of every source and field, of all in the frame at once,
+        each with a prior of PULL runs."""
+        got = [self.of(r) for r in pdf["run"]]
+        n = pdf["n"].to_numpy(float)
+        group = pdf.groupby(["source", "field"], dropna=False, sort=False).ngroup().to_numpy()
+        groups = int(group.max()) + 1
+        at = np.flatnonzero([not g[2] for g in got])
+        if not len(at):
+            return at, np.zeros((0, len(CHAINS) + 1)), []
+        like = np.stack([got[i][0] for i in at])
+        used = np.flatnonzero(np.isfinite(like).any(axis=0))
+        like, m, g = like[:, used], n[at], group[at]
+        sure = np.bincount(group, n, groups) - np.bincount(g, m, groups)
+        prior = np.full(len(CHAINS) + 1, 0.1 / len(CHAINS))
+        prior[0] = 0.9
+        prior = prior[used]
+        pi = np.tile(prior, (groups, 1))
+        total = np.bincount(group, n, groups)[:, None] + PULL
+        for _ in range(INNER):
+            w = like + np.log(pi)[g]
+            w = np.exp(w - w.max(axis=1, keepdims=True))
+            w /= w.sum(axis=1, keepdims=True)
+            new = np.stack([np.bincount(g, m * w[:, k], groups) for k in range(len(used))], 1) + PULL * prior
+            if used[0] == 0:
+                new[:, 0] += sure
+            new = np.maximum(new / total, 1e-12)
+            done = np.abs(new - pi).max() < 1e-4
+            pi = new
+            if done:
+                break
+        full = np.zeros((len(at), len(CHAINS) + 1))
+        full[:, used] = w
+        return at, full, [got[i][1] for i in at]
 
 
 def _judge(model: dict[str, float]):
+    evidence = _Evidence(model)
+
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        runs = list(pdf["run"])
-        w, before, _ = _posterior(runs, pdf["n"].to_numpy(float), model)
+        runs, source, field = list(pdf["run"]), pdf["source"].tolist(), list(pdf["field"])
         out = []
-        for i, r in enumerate(runs):
-            c = int(w[i, 1:].argmax())
-            if w[i, 0] < 0.5 and c in before[i]:
-                out.append((pdf["source"].iat[i], pdf["field"].iat[i], r, NAMES[c], before[i][c], 1 - w[i, 0]))
+        for i, w, before in zip(*evidence.posterior(pdf)):
+            c = int(w[1:].argmax())
+            if w[0] < 0.5 and c in before:
+                out.append((None if pd.isna(source[i]) else int(source[i]), field[i], runs[i], NAMES[c], before[c], 1 - w[0]))
         return pd.DataFrame(out, columns=["source", "field", "run", "chain", "before", "p"]).astype({"source": "Int64", "field": object, "run": object, "chain": object, "before": object, "p": "float64"})
 
     return run
 
 
 def _expect(model: dict[str, float]):
+    evidence = _Evidence(model)
+
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         runs, n = list(pdf["run"]), pdf["n"].to_numpy(float)
-        w, before, _ = _posterior(runs, n, model)
         mass: Counter = Counter()
-        for i, r in enumerate(runs):
-            for c, s in [(-1, r), *before[i].items()]:
-                if w[i, c + 1] > 0.9:
+        for i, w, before in zip(*evidence.posterior(pdf)):
+            for c, s in [(-1, runs[i]), *before.items()]:
+                if w[c + 1] > 0.9:
                     for ch in s:
                         if ch >= "\x80" and ch != LOST:
-                            mass[ch] += n[i] * w[i, c + 1]
+                            mass[ch] += n[i] * w[c + 1]
         return pd.DataFrame({"c": pd.Series(list(mass), dtype=object), "m": pd.Series(list(mass.values()), dtype=float)})
 
     return run
@@ -218,6 +260,9 @@ def decide(scanned: DataFrame, rounds: int = ROUNDS) -> DataFrame:
     flat = F.explode(F.arrays_zip("runs", "counts")).alias("x")
     pairs = scanned.where("field <> 'model'").select("source", "field", flat).groupBy("source", "field", F.col("x.runs").alias("run")).agg(F.sum("x.counts").alias("n"))
     pairs = materialise(pairs)
+    # Sources are judged many at a time; a bucket has BUCKET different runs, about.
+    buckets = max(16, pairs.count() // BUCKET)
+    pairs = pairs.withColumn("bucket", F.pmod(F.xxhash64("source", "field"), F.lit(buckets)))
     base = {r["c"]: float(r["n"]) for r in scanned.where("field = 'model'").select(flat).groupBy(F.col("x.runs").alias("c")).agg(F.sum("x.counts").alias("n")).toLocalIterator()}
     counts = base
     kind = "source long, field string, run string, chain string, before string, p double"
@@ -227,8 +272,8 @@ def decide(scanned: DataFrame, rounds: int = ROUNDS) -> DataFrame:
         last = k == rounds - 1
 
         if last:
-            return pairs.groupBy("source", "field").applyInPandas(_judge(model), kind)
-        got = pairs.groupBy("source", "field").applyInPandas(_expect(model), "c string, m double").groupBy("c").agg(F.sum("m").alias("m"))
+            return pairs.groupBy("bucket").applyInPandas(_judge(model), kind)
+        got = pairs.groupBy("bucket").applyInPandas(_expect(model), "c string, m double").groupBy("c").agg(F.sum("m").alias("m"))
         counts = dict(base)
         for r in got.toLocalIterator():
             counts[r["c"]] = counts.get(r["c"], 0.0) + r["m"]
@@ -250,6 +295,8 @@ def repair(texts: DataFrame, wrong: DataFrame) -> DataFrame:
 
     def run(batches):
         for pdf in batches:
+            if not len(pdf):
+                continue
             done = []
             for t, f in zip(pdf["text"], pdf["fix"]):
                 m = dict(f)

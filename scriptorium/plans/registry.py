@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from . import corpus, library
+from . import corpus, events, layouts, library, texts
 
-_MODULES = [library, corpus]
+_MODULES = [library, texts, layouts, events, corpus]
 
 
 def queries() -> dict:

@@ -153,6 +153,8 @@ def canonical(values: DataFrame, *, shards: int = SHARDS) -> DataFrame:
     def keyed(odd: bool):
         def run(batches):
             for pdf in batches:
+                if not len(pdf):
+                    continue
                 key = pdf["value"].map(normal) if odd else pdf["value"]
                 yield pdf.assign(odd=odd, shard=_shard(key, shards))
 
@@ -164,7 +166,7 @@ def canonical(values: DataFrame, *, shards: int = SHARDS) -> DataFrame:
     def solve(pdf: pd.DataFrame) -> pd.DataFrame:
         odd = pdf["value"][pdf["odd"]]
         if odd.empty:
-            return pd.DataFrame({"value": odd, "canonical": odd})
+            return pd.DataFrame({"value": odd.astype(object), "canonical": odd.astype(object)})
         keys = odd.map(normal)
         tails = set(keys)
         trie = Trie()

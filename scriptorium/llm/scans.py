@@ -10,6 +10,7 @@ decisions.
 
 from __future__ import annotations
 
+import functools
 import re
 from collections import Counter
 
@@ -64,6 +65,7 @@ def bare(token: str) -> str:
 _FOLD = [("rn", "m"), ("ri", "n"), ("cl", "d"), ("vv", "w"), ("ii", "u"), ("li", "h"), ("0", "o"), ("1", "l"), ("!", "l"), ("|", "l"), ("i", "l"), ("5", "s"), ("9", "g"), ("c", "e"), ("u", "a"), ("f", "t"), ("b", "h")]
 
 
+@functools.lru_cache(50_000)
 def skeleton(line: str) -> str:
     """Form of a line that stays the same under misread letters, letter spacing and case."""
     if "||" in line:  # a verse number
@@ -81,9 +83,10 @@ def _edge(lines: list[str]) -> list[tuple[int, str]]:
     return top + bottom
 
 
+@functools.lru_cache(50_000)
 def furniture(line: str) -> tuple[str, bool, bool]:
     """The line without its page number, whether it is a page number alone, whether it has one."""
-    if "||" in line or len(line) > _LONG:
+    if "||" in line or len(line) > _LONG or not (line[-1:].isalnum() or line[:1].isalnum() or len(line) < 24):
         return line, False, False
     if _ALONE.match(line):
         return "", True, True
@@ -93,6 +96,20 @@ def furniture(line: str) -> tuple[str, bool, bool]:
     return line, False, False
 
 
+_ENDS = frozenset(HYPHENS + ".,;:?!”\"|’)»")
+
+
+def cuts_of(lines: list[str]) -> list[tuple[str, str, str]]:
+    """Word, hyphen sign and rest of the words that go on in the next line."""
+    out = []
+    for x, y in zip(lines, lines[1:]):
+        if x[-1] in HYPHENS and y[0].isalpha():
+            left = x.rsplit(None, 1)[-1]
+            if len(left) > 1 and left[-2].isalpha():
+                out.append((left[:-1], left[-1], y.split(None, 1)[0]))
+    return out
+
+
 def scan_pages(rows: DataFrame) -> DataFrame:
     """rows: id, ts, book, page, text. One row per page (kind ``page``) and rows of word forms with
     their counts (kind ``word``: id, book, page NULL)."""
@@ -100,6 +117,8 @@ def scan_pages(rows: DataFrame) -> DataFrame:
     def run(batches):
         words: Counter = Counter()
         for pdf in batches:
+            if not len(pdf):
+                continue
             out = []
             for text in pdf["text"]:
                 if text is None or text.isspace() or not text:
@@ -108,18 +127,19 @@ def scan_pages(rows: DataFrame) -> DataFrame:
                 lines = [x.strip() for x in text.split("\n")]
                 lines = [x for x in lines if x]
                 # The body's last line, without furniture below it.
-                body = [x for x in lines]
-                low = 0
-                while len(body) > 1 and low < 2 and len(body[-1]) <= _LONG and (furniture(body[-1])[2] or not re.search(rf"[{HYPHENS}.,;:?!”\"|’)»]$", body[-1])) and len(body[-1].split()) <= 10 and (furniture(body[-1])[1] or body[-1][:1].isupper()):
-                    body.pop()
-                    low += 1
-                tail = _TAIL.search(body[-1])
-                whole = "\n".join(body)
-                cuts = _BROKEN.findall(whole)
-                heads = [w for x in lines[:4] for w in x.split(None, 1)[:1]]
-                words.update((_BROKEN.sub(r"\1\3", whole) if cuts else whole).split())
-                for x in lines[len(body) :]:
-                    words.update(x.split())
+                low = len(lines)
+                while low > 1 and len(lines) - low < 2 and len(x := lines[low - 1]) <= _LONG and x[-1] not in _ENDS and len(x.split()) <= 10 and (x[0].isupper() or furniture(x)[1]):
+                    low -= 1
+                if low == len(lines) and low > 1 and furniture(lines[-1])[1]:
+                    low -= 1
+                tail = _TAIL.search(lines[low - 1]) if lines[low - 1][-1] in HYPHENS else None
+                cuts = cuts_of(lines[:low])
+                heads = [x.split(None, 1)[0] for x in lines[:4]]
+                words.update(text.split())
+                for left, sign, right in cuts:
+                    words[left + sign] -= 1
+                    words[right] -= 1
+                    words[left + right] += 1
                 edge = []
                 opening = bool(_OPENING.match(lines[0])) or (len(lines) > 1 and bool(_OPENING.match(lines[1])) and furniture(lines[0])[1])
                 most = max(len(x) for x in lines)
@@ -162,11 +182,12 @@ def _words(words: Counter) -> pd.DataFrame:
 
 def vocabulary(scanned: DataFrame) -> DataFrame:
     """raw, word, n: every word form with its bare word and its count."""
-    forms = scanned.where("kind = 'word'").groupBy("raw").agg(F.sum("n").alias("n"))
+    forms = scanned.where("kind = 'word' and n <> 0").groupBy("raw").agg(F.sum("n").alias("n")).where("n > 0")
 
     def run(batches):
         for pdf in batches:
-            yield pdf.assign(word=[bare(x) for x in pdf["raw"]])
+            if len(pdf):
+                yield pdf.assign(word=[bare(x) for x in pdf["raw"]])
 
     return forms.mapInPandas(run, "raw string, n long, word string").where("word <> ''")
 
@@ -227,7 +248,8 @@ def misread(vocab: DataFrame, *, sample: int = SAMPLE) -> DataFrame:
             ok = [x is not None and all(p and q for p, q in x) for x in e]
             pdf = pdf[ok]
             e = [x for x, k in zip(e, ok) if k]
-            yield pdf[["word", "v", "n", "vn"]].assign(op=["+".join(f"{p}>{q}" for p, q in x) for x in e], edits=[len(x) for x in e], listed=[all(t in CONFUSED for t in x) for x in e])
+            if e:
+                yield pdf[["word", "v", "n", "vn"]].assign(op=["+".join(f"{p}>{q}" for p, q in x) for x in e], edits=[len(x) for x in e], listed=[all(t in CONFUSED for t in x) for x in e])
 
     pairs = materialise(met.mapInPandas(diffs, "word string, v string, n long, vn long, op string, edits int, listed boolean"))
     ops = pairs.groupBy("op").agg(F.count_distinct("v").alias("support"))
@@ -402,13 +424,18 @@ class Scans:
         def run(batches):
             skip = seen.value
             for pdf in batches:
+                if not len(pdf):
+                    continue
                 rare = []
                 for t in pdf["text"]:
                     if t is None:
                         rare.append([])
                         continue
-                    t = _BROKEN.sub(r"\1\3", t)
-                    rare.append(sorted({b for x in set(t.split()) - skip if x[-1] not in HYPHENS and (b := bare(x))}))
+                    left = set(t.split()) - skip
+                    if any(x[-1] in HYPHENS for x in left):
+                        lines = [y for y in map(str.strip, t.split("\n")) if y]
+                        left = {x for x in left if x[-1] not in HYPHENS} - {r for _, _, r in cuts_of(lines)}
+                    rare.append(sorted({b for x in left if (b := bare(x))}))
                 yield pd.DataFrame({"id": pdf["id"], "ts": pdf["ts"], "rare": rare})
 
         found = self.rows.select("id", "ts", "text").mapInPandas(run, "id long, ts long, rare array<string>")
@@ -437,6 +464,8 @@ class Scans:
 
         def run(batches):
             for pdf in batches:
+                if not len(pdf):
+                    continue
                 yield pd.DataFrame({"id": pdf["id"], "text": [None if t is None else clean(t, set(d if d is not None else ()), set(c if c is not None else ()), dict(f if f is not None else ())) for t, d, c, f in zip(pdf["text"], pdf["drop"], pdf["cuts"], pdf["fix"])]})
 
         return texts.join(drop, "id", "left").join(cuts, "id", "left").join(fix, "id", "left").select("id", "text", "drop", "cuts", "fix").mapInPandas(run, "id long, text string")

@@ -154,6 +154,8 @@ def page_features(docs: DataFrame) -> DataFrame:
 
     def run(batches):
         for pdf in batches:
+            if not len(pdf):
+                continue
             f = [features(t) for t in pdf["text"]]
             weak = [1 if x[-1] >= SURE[1] else (0 if x[-1] <= SURE[0] else None) for x in f]
             yield pd.DataFrame({"doc_id": pdf["doc_id"], "source": pdf["source"], "f": f, "weak": pd.array(weak, dtype="Int32")})

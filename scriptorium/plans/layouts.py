@@ -47,7 +47,7 @@ def _spans(s, d):
 
 def _new_glossary(s, d):
     g = V.glossary(s, d)
-    return g.where("glossary_id % 3 = 0").select("book_id", "term", F.concat(F.lit("new "), F.coalesce("description", F.lit("-"))).alias("description")).unionByName(g.where("glossary_id % 50 = 1").select((F.col("book_id") + 1000).alias("book_id"), "term", "description")).groupBy("book_id", "term").agg(F.max("description").alias("description"))
+    return g.where("description is null").select("book_id", "term", F.concat(F.lit("new "), "term").alias("description")).unionByName(g.where("book_id = 41").select((F.col("book_id") + 1000).alias("book_id"), "term", "description")).groupBy("book_id", "term").agg(F.max("description").alias("description"))
 
 
 def _old_glossary(s, d):
@@ -74,27 +74,27 @@ QUERIES = {
     "split_pages": lambda s, d: L.split_pages(V.page_map(s, d).select(F.col("book_id").alias("doc"), F.col("page_number").alias("page"), F.when(F.col("page_number") % 3 == 0, 400.0).otherwise(800.0).alias("w"), F.lit(600.0).alias("h"))),
     "odd_even_interleave": lambda s, d: L.interleave(_pages(s, d, 1), _pages(s, d, 0)).select("book_id", "page", "scan", F.col("place").cast("long").alias("place")),
     "glossary_entries": lambda s, d: X.glossaries(load(s, d, "documents").select(F.col("doc_id").alias("id"), "text")),
-    "verse_entries": lambda s, d: X.verses(load(s, d, "documents").where("text like 'Verse Index%'").select(F.col("doc_id").alias("id"), "text")),
+    "verse_entries": lambda s, d: X.verses(load(s, d, "documents").select(F.col("doc_id").alias("id"), "text")),
     "json_props": lambda s, d: load(s, d, "events").select("event_id", F.get_json_object("props", "$.k").cast("long").alias("k")),
     "batch_answers": lambda s, d: X.batch_answers(load(s, d, "events").select(F.concat(F.lit('{"custom_id": "e'), F.col("event_id"), F.lit('", "response": {"status_code": '), F.when(F.col("event_id") % 9 == 0, 500).otherwise(200), F.lit(', "body": "{\\"output_text\\": \\"'), F.col("event_type"), F.lit('\\"}"}'), F.when(F.col("event_id") % 7 == 0, "").otherwise("}")).alias("value"))).where("custom_id is not null or failed"),
     "html_render": lambda s, d: X.html(_spans(s, d).withColumn("size", F.when(F.col("line_no") == 0, 15).otherwise(10)).withColumn("bold", F.col("line_no") == 1), "text", "size", "bold").select("page_id", "line_no", "html"),
     "glossary_upsert": lambda s, d: M.upsert(_old_glossary(s, d), _new_glossary(s, d), ["book_id", "term"]),
     "glossary_insert_missing": lambda s, d: M.insert_missing(_old_glossary(s, d), _new_glossary(s, d), ["book_id", "term"]),
-    "toc_replace": lambda s, d: M.replace_groups(V.toc(s, d).select("toc_id", "book_id", "toc_label"), V.toc(s, d).where("book_id % 2 = 0").select((F.col("toc_id") + 1_000_000).alias("toc_id"), "book_id", F.upper("toc_label").alias("toc_label")), ["book_id"]),
-    "toc_page_sync": lambda s, d: M.update(V.toc(s, d).select("toc_id", "page_number"), V.toc(s, d).where("toc_id % 5 = 0").select("toc_id", F.lit(7).alias("n")), "toc_id", "page_number", "n"),
+    "toc_replace": lambda s, d: M.replace_groups(V.toc(s, d).select("toc_id", "book_id", "toc_label"), V.toc(s, d).where("book_id = 41").select((F.col("toc_id") + 1_000_000).alias("toc_id"), "book_id", F.upper("toc_label").alias("toc_label")), ["book_id"]),
+    "toc_page_sync": lambda s, d: M.update(V.toc(s, d).select("toc_id", "page_number"), V.toc(s, d).where("page_number is null").select("toc_id", F.lit(0).alias("n")), "toc_id", "page_number", "n"),
     "insert_ids": lambda s, d: M.with_ids(V.toc(s, d), V.glossary(s, d).select("glossary_id", "term"), "toc_id", ["glossary_id"]).select(F.col("toc_id").cast("long").alias("toc_id"), "glossary_id"),
 }
 
 _BLK = "SELECT l_orderkey AS page_id, CAST(l_linenumber AS INTEGER) AS block_no, l_quantity AS x0, l_extendedprice % 700 AS y0 FROM lineitem"
 _SPAN = "SELECT content_id AS page_id, i - 1 AS line_no, string_split(page_content, chr(10))[i] AS text, (i - 1) * 12.0 AS y0 FROM c_content, unnest(range(1, len(string_split(page_content, chr(10))) + 1)) AS r(i) WHERE page_content IS NOT NULL"
-_NG = "SELECT book_id, term, max(description) AS description FROM (SELECT book_id, term, concat('new ', coalesce(description, '-')) AS description FROM c_glossary WHERE glossary_id % 3 = 0 UNION ALL SELECT book_id + 1000, term, description FROM c_glossary WHERE glossary_id % 50 = 1) GROUP BY ALL"
+_NG = "SELECT book_id, term, max(description) AS description FROM (SELECT book_id, term, concat('new ', term) AS description FROM c_glossary WHERE description IS NULL UNION ALL SELECT book_id + 1000, term, description FROM c_glossary WHERE book_id = 41) GROUP BY ALL"
 _OG = "SELECT book_id, term, max(description) AS description FROM c_glossary GROUP BY ALL"
 
 ORACLE = {
     "glossary_upsert": BASE + f"SELECT coalesce(o.book_id, n.book_id) AS book_id, coalesce(o.term, n.term) AS term, coalesce(n.description, o.description) AS description FROM ({_OG}) o FULL JOIN ({_NG}) n ON o.book_id IS NOT DISTINCT FROM n.book_id AND o.term IS NOT DISTINCT FROM n.term",
     "glossary_insert_missing": BASE + f"SELECT * FROM ({_NG}) n WHERE NOT EXISTS (SELECT 1 FROM ({_OG}) o WHERE o.book_id = n.book_id AND o.term = n.term)",
-    "toc_replace": BASE + "SELECT toc_id, book_id, toc_label FROM c_toc WHERE book_id % 2 <> 0 UNION ALL SELECT toc_id + 1000000, book_id, upper(toc_label) FROM c_toc WHERE book_id % 2 = 0",
-    "toc_page_sync": BASE + "SELECT toc_id, CASE WHEN toc_id % 5 = 0 THEN 7 ELSE page_number END AS page_number FROM c_toc",
+    "toc_replace": BASE + "SELECT toc_id, book_id, toc_label FROM c_toc WHERE book_id <> 41 UNION ALL SELECT toc_id + 1000000, book_id, upper(toc_label) FROM c_toc WHERE book_id = 41",
+    "toc_page_sync": BASE + "SELECT toc_id, coalesce(page_number, 0) AS page_number FROM c_toc",
     "insert_ids": BASE + "SELECT (SELECT max(toc_id) FROM c_toc) + row_number() OVER (ORDER BY glossary_id) AS toc_id, glossary_id FROM c_glossary",
     "quadrant_counts": f"SELECT page_id, count(*) FILTER (WHERE y0 < 350 AND x0 < 25) AS top_left, count(*) FILTER (WHERE y0 < 350 AND x0 >= 25) AS top_right, count(*) FILTER (WHERE y0 >= 350 AND x0 < 25) AS bottom_left, count(*) FILTER (WHERE y0 >= 350 AND x0 >= 25) AS bottom_right FROM ({_BLK}) GROUP BY page_id",
     "two_columns": f"SELECT page_id, count(*) AS blocks, count(*) >= 10 AND count(*) FILTER (WHERE x0 < 25) / count(*) >= 0.3 AND count(*) FILTER (WHERE x0 >= 25) / count(*) >= 0.3 AS two_columns FROM ({_BLK}) GROUP BY page_id",

@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from . import corpus, events, layouts, library, texts
+from . import corpus, events, extras, layouts, library, texts
 
-_MODULES = [library, texts, layouts, events, corpus]
+_MODULES = [library, texts, layouts, extras, events, corpus]
 
 
 def queries() -> dict:

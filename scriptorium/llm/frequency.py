@@ -48,7 +48,7 @@ def frequencies(words: DataFrame) -> DataFrame:
 
 def marked(freq: DataFrame, total: int, common: float = COMMON) -> DataFrame:
     """``rare`` (one occurrence) and ``common`` (in at least that share of all records)."""
-    return freq.withColumn("rare", F.col("occurrences") == 1).withColumn("common", F.col("records") >= F.lit(common * total))
+    return freq.withColumn("rare", F.col("occurrences") == 1).withColumn("common", F.col("records") / F.lit(max(1, total)) >= F.lit(common))
 
 
 def _frequencies(spark: SparkSession, sf_dir: str) -> DataFrame:

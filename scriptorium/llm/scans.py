@@ -28,7 +28,7 @@ SAMPLE = 4_000  # rows of each weak label used for training, at most
 KNOWN = 200_000  # most frequent word forms that the second pass need not look up
 STRONG = 12  # occurrences from which a word can be a correction
 RATIO = 8.0  # so many times as frequent as the misread form must the correction be
-SALTS = 8
+SALTS = 4
 FLUSH = 400_000
 
 # Shapes that scanners confuse (as read, as printed).
@@ -328,23 +328,29 @@ def headers(edges: DataFrame, titles: DataFrame, *, sample: int = SAMPLE) -> Dat
     Adds p: that the line is a running title. The line and what the pages of its book have in the
     same place make the pair that is judged."""
     text = edges.where("not alone and length(skel) > 3")
-    per = text.groupBy("book", "skel").agg(F.count_distinct("id").alias("pages"))
-    heads = titles.groupBy("book", "skel").agg(F.count("*").alias("heads"))
-    stats = per.join(heads.withColumnRenamed("book", "hb").withColumnRenamed("skel", "hs"), F.expr("book <=> hb and skel = hs"), "left").select(F.col("book").alias("b"), F.col("skel").alias("k"), "pages", F.coalesce("heads", F.lit(0).cast("long")).alias("heads"))
-    # A running title may stand on a large part of a hot book's pages: its rows are spread.
-    spread = stats.withColumn("s", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-    t = text.withColumn("s0", F.pmod(F.xxhash64("id"), F.lit(SALTS)).cast("int")).join(spread, F.expr("book <=> b and skel = k and s0 = s"))
+    # Lines that end a sentence or go on with one are of the body unless they carry a number.
+    body = "(ends or lower) and not has"
+    rest, text = text.where(body), text.where(f"not ({body})")
+    per = text.groupBy("book", "skel").agg(F.count("*").alias("pages"))
+    heads = titles.groupBy(F.col("book").alias("hb"), F.col("skel").alias("hs")).agg(F.count("*").alias("heads"))
+    stats = per.join(heads, F.expr("book <=> hb and skel = hs"), "left").select(F.col("book").alias("b"), F.col("skel").alias("k"), "pages", F.coalesce("heads", F.lit(0).cast("long")).alias("heads"))
+    # A running title may stand on a large part of a hot book's pages: its rows are spread. Lines
+    # that no other page has need no partner.
+    spread = stats.where("pages > 1 or heads > 0").withColumn("s", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    t = text.withColumn("s0", F.pmod(F.xxhash64("id"), F.lit(SALTS)).cast("int")).join(spread, F.expr("book <=> b and skel = k and s0 = s"), "left")
+    t = t.withColumn("pages", F.coalesce("pages", F.lit(1).cast("long"))).withColumn("heads", F.coalesce("heads", F.lit(0).cast("long")))
+    alone = rest.orderBy(F.xxhash64("id", "pos"), "id", "pos").limit(sample).withColumn("pages", F.lit(1).cast("long")).withColumn("heads", F.lit(0).cast("long"))
     boolean = lambda c: F.col(c).cast("double")
-    f = t.select(
+    shape = [
         "id", "pos", "line", "opening", "has",
         F.log1p(F.col("pages").cast("double")).alias("pages"), (F.col("heads") > 0).cast("double").alias("heading"), F.col("title").alias("titled"), boolean("upper").alias("up"), boolean("ends").alias("end"),
         "width", boolean("lower").alias("low"), F.col("words").cast("double").alias("long"), boolean("has").alias("num"), (F.col("pos") >= 2).cast("double").alias("bottom"), (F.col("pos") % 2).cast("double").alias("second"),
-    )
-    f = materialise(f)
-    sure = F.when((F.col("pages") > 1.5) & (F.col("end") == 0), 1).when((F.col("pages") < 1.2) & ((F.col("end") == 1) | (F.col("low") == 1)), 0)
+    ]
+    f = materialise(t.select(*shape))
+    often = f.where((F.col("pages") > 1.5) & (F.col("end") == 0)).orderBy(F.xxhash64("id", "pos"), "id", "pos").limit(sample)
     x, y = [], []
-    for label in (0, 1):
-        got = f.where(sure == label).orderBy(F.xxhash64("id", "pos"), "id", "pos").limit(sample).select(*_LINE).toPandas()
+    for label, rows in ((0, alone.select(*shape)), (1, often)):
+        got = rows.select(*_LINE).toPandas()
         x.append(got.to_numpy(float))
         y.append(np.full(len(got), float(label)))
     model = Boosted(np.concatenate(x), np.concatenate(y)) if min(len(x[0]), len(x[1])) > 20 else None

@@ -16,7 +16,7 @@ from collections import Counter
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -49,7 +49,6 @@ _BACK = re.compile(rf"(?<=\S)(?:\s{{2,}}|\s+[|·•–—]\s*|\s+)[\[(]?(?:page
 _WIDE_FRONT = re.compile(rf"^\s*[\[(]?{_NUM}[\])]?(?:\s{{2,}}|\s*[|·•–—]\s+)\S", re.I)
 _WIDE_BACK = re.compile(rf"\S(?:\s{{2,}}|\s+[|·•–—]\s*)[\[(]?(?:page )?{_NUM}[\])]?\s*$", re.I)
 _OPENING = re.compile(r"^\s*(?:chapter|canto|part|book|section|lesson|kapitel|cap[ií]tulo|chapitre)\b", re.I)
-_SPACED = re.compile(r"^(?:\S ){3,}\S|(?: \S){4,}")
 _LONG = 160  # a longer line is no furniture
 
 
@@ -111,78 +110,80 @@ def cuts_of(lines: list[str]) -> list[tuple[str, str, str]]:
 
 
 def scan_pages(rows: DataFrame) -> DataFrame:
-    """rows: id, ts, book, page, text. One row per page (kind ``page``) and rows of word forms with
-    their counts (kind ``word``: id, book, page NULL)."""
+    """rows: id, ts, book, page, text. Flat rows of several kinds, in columns a, b, c and others:
+
+    ``edge`` (a line at the top or bottom of a page), ``cut`` (a: word, b: hyphen, c: rest),
+    ``tail`` (a word cut at the end of the page), ``head`` (c: first word of a line at the top),
+    ``title`` (c: form of the heading of an opening page) and ``word`` (a: word form, n: count)."""
 
     def run(batches):
         words: Counter = Counter()
         for pdf in batches:
-            if not len(pdf):
-                continue
-            out = []
-            for text in pdf["text"]:
+            out: list[tuple] = []
+            for i, ts, book, page, text in zip(pdf["id"], pdf["ts"], pdf["book"], pdf["page"], pdf["text"]):
                 if text is None or text.isspace() or not text:
-                    out.append(([], [], [], None, [], None, 0))
                     continue
-                lines = [x.strip() for x in text.split("\n")]
-                lines = [x for x in lines if x]
+                key = (i, ts, book, page)
+                lines = [y for x in text.split("\n") if (y := x.strip())]
                 # The body's last line, without furniture below it.
                 low = len(lines)
                 while low > 1 and len(lines) - low < 2 and len(x := lines[low - 1]) <= _LONG and x[-1] not in _ENDS and len(x.split()) <= 10 and (x[0].isupper() or furniture(x)[1]):
                     low -= 1
                 if low == len(lines) and low > 1 and furniture(lines[-1])[1]:
                     low -= 1
-                tail = _TAIL.search(lines[low - 1]) if lines[low - 1][-1] in HYPHENS else None
-                cuts = cuts_of(lines[:low])
-                heads = [x.split(None, 1)[0] for x in lines[:4]]
                 words.update(text.split())
-                for left, sign, right in cuts:
+                for left, sign, right in cuts_of(lines[:low]):
                     words[left + sign] -= 1
                     words[right] -= 1
                     words[left + right] += 1
-                edge = []
+                    out.append((*key, "cut", left, sign, right, *_NONE))
+                if lines[low - 1][-1] in HYPHENS and (m := _TAIL.search(lines[low - 1])):
+                    out.append((*key, "tail", m[1], m[2], None, *_NONE))
+                out += [(*key, "head", None, None, x.split(None, 1)[0], *_NONE) for x in lines[:4]]
                 opening = bool(_OPENING.match(lines[0])) or (len(lines) > 1 and bool(_OPENING.match(lines[1])) and furniture(lines[0])[1])
-                most = max(len(x) for x in lines)
+                most = max(map(len, lines))
                 for pos, x in _edge(lines):
                     if len(x) > _LONG:
                         continue
                     core, alone, has = furniture(x)
+                    ends, lower = x[-1] in _STOPS, x[0].islower()
+                    skel = "" if (ends or lower) and not has else skeleton(core)
                     w = [v for v in core.split() if v[0].isalpha()]
-                    spaced = bool(_SPACED.search(core))
-                    edge.append((pos, x, skeleton(core), alone, has, sum(v[0].isupper() for v in w) / max(1, len(w)), core.isupper(), bool(re.search(r"[.,;:?!”\"’»|)]$", core)), len(x) / most, x[:1].islower(), len(w), spaced))
-                title = None
+                    titled, n, up = sum(v[0].isupper() for v in w) / max(1, len(w)), len(w), core.isupper()
+                    out.append((*key, "edge", x, None, skel, pos, alone, has, titled, up, ends, len(x) / most, lower, n, opening))
                 if opening:
                     rest = [x for x in lines[:5] if not _OPENING.match(x) and not furniture(x)[1]]
-                    title = skeleton(rest[0]) if rest else None
-                out.append(([c[0] for c in cuts], [c[1] for c in cuts], [c[2] for c in cuts], list(tail.groups()) if tail else None, edge, title, int(opening), heads))
-            cols = list(zip(*[(*o, []) if len(o) == 7 else o for o in out])) if out else [[]] * 8
-            yield pdf[["id", "ts", "book", "page"]].assign(kind="page", left=list(cols[0]), sign=list(cols[1]), right=list(cols[2]), tail=list(cols[3]), edge=[[dict(zip(_EDGE, e)) for e in x] for x in cols[4]], title=list(cols[5]), opening=list(cols[6]), heads=list(cols[7]), raw=None, n=0)
+                    if rest:
+                        out.append((*key, "title", None, None, skeleton(rest[0]), *_NONE))
+            if out:
+                yield _frame(out)
             if len(words) > FLUSH:
-                yield _words(words)
+                yield _frame([(None, 0, None, None, "word", w, None, None, *_NONE[:-2], n, False) for w, n in words.items() if n > 0 or n < 0])
                 words = Counter()
         if words:
-            yield _words(words)
+            yield _frame([(None, 0, None, None, "word", w, None, None, *_NONE[:-2], n, False) for w, n in words.items() if n > 0 or n < 0])
 
     return rows.mapInPandas(run, _PAGE)
 
 
-_EDGE = ("pos", "line", "skel", "alone", "has", "title", "upper", "ends", "width", "lower", "words", "spaced")
-_PAGE = (
-    "id long, ts long, book long, page long, kind string, left array<string>, sign array<string>, right array<string>, tail array<string>, "
-    "edge array<struct<pos: int, line: string, skel: string, alone: boolean, has: boolean, title: double, upper: boolean, ends: boolean, width: double, lower: boolean, words: int, spaced: boolean>>, "
-    "title string, opening int, heads array<string>, raw string, n long"
-)
+_STOPS = frozenset('.,;:?!”"’»|)' + HYPHENS[:1])
+_NONE = (0, False, False, 0.0, False, False, 0.0, False, 0, False)
+_EDGE = ["pos", "alone", "has", "title", "upper", "ends", "width", "lower", "n", "opening"]
+_PAGE = "id long, ts long, book long, page long, kind string, a string, b string, c string, pos int, alone boolean, has boolean, title double, upper boolean, ends boolean, width double, lower boolean, n long, opening boolean"
 
 
-def _words(words: Counter) -> pd.DataFrame:
-    k = len(words)
-    none = [None] * k
-    return pd.DataFrame({"id": pd.array(none, dtype="Int64"), "ts": 0, "book": pd.array(none, dtype="Int64"), "page": pd.array(none, dtype="Int64"), "kind": "word", "left": none, "sign": none, "right": none, "tail": none, "edge": none, "title": none, "opening": 0, "heads": none, "raw": list(words), "n": list(words.values())})
+def _frame(rows: list[tuple]) -> pd.DataFrame:
+    f = pd.DataFrame(rows, columns=["id", "ts", "book", "page", "kind", "a", "b", "c", *_EDGE])
+    for c in ("id", "book", "page"):
+        f[c] = f[c].astype("Int64")
+    for c in ("a", "b", "c"):
+        f[c] = f[c].astype(object).where(f[c].notna(), None)
+    return f
 
 
 def vocabulary(scanned: DataFrame) -> DataFrame:
     """raw, word, n: every word form with its bare word and its count."""
-    forms = scanned.where("kind = 'word' and n <> 0").groupBy("raw").agg(F.sum("n").alias("n")).where("n > 0")
+    forms = scanned.where("kind = 'word'").groupBy(F.col("a").alias("raw")).agg(F.sum("n").alias("n")).where("n > 0")
 
     def run(batches):
         for pdf in batches:
@@ -280,13 +281,18 @@ def misread(vocab: DataFrame, *, sample: int = SAMPLE) -> DataFrame:
     return scored.withColumn("k", F.row_number().over(best)).where("k = 1 and p >= 0.5").select("word", F.col("v").alias("correction"), "p")
 
 
+def _counts(rows: DataFrame, words: DataFrame, forms: dict[str, Column]) -> DataFrame:
+    """Adds n_<name>, the count of each form of a row (0: unknown), by one join. Rows must differ."""
+    keys = rows.columns
+    long = rows.select(*keys, F.explode(F.array(*[F.struct(F.lit(k).alias("k"), c.alias("w")) for k, c in forms.items()])).alias("z")).select(*keys, "z.k", "z.w")
+    met = long.join(words.select("word", F.col("n").alias("_n")), F.col("w") == F.col("word"), "left")
+    return met.groupBy(*keys).agg(*[F.coalesce(F.max(F.when(F.col("k") == k, F.col("_n"))), F.lit(0).cast("long")).alias(f"n_{k}") for k in forms])
+
+
 def _cut_features(cuts: DataFrame, words: DataFrame) -> DataFrame:
     """Counts of the joined, hyphenated and single words of a cut."""
-    out = cuts.withColumn("joined", F.concat("l", "r")).withColumn("whole", F.concat("l", F.lit("-"), "r"))
-    for c in ("joined", "whole", "l", "r"):
-        w = words.select(F.col("word").alias(f"w_{c}"), F.col("n").alias(f"n_{c}"))
-        out = out.join(w, F.col(c) == F.col(f"w_{c}"), "left").withColumn(f"n_{c}", F.coalesce(f"n_{c}", F.lit(0).cast("long"))).drop(f"w_{c}")
-    return out
+    l, r = F.col("l"), F.col("r")
+    return _counts(cuts, words, {"joined": F.concat(l, r), "whole": F.concat(l, F.lit("-"), r), "l": l, "r": r})
 
 
 def hyphens(cuts: DataFrame, words: DataFrame, *, sample: int = SAMPLE) -> DataFrame:
@@ -324,14 +330,14 @@ _LINE = ["pages", "heading", "titled", "up", "end", "width", "low", "long", "num
 
 
 def headers(edges: DataFrame, titles: DataFrame, *, sample: int = SAMPLE) -> DataFrame:
-    """edges: id, book, opening and the fields of an edge line; titles: book, skel of headings.
+    """edges: id, ts, book and the fields of an edge line; titles: book, skel of headings.
     Adds p: that the line is a running title. The line and what the pages of its book have in the
     same place make the pair that is judged."""
-    text = edges.where("not alone and length(skel) > 3")
+    text = edges.where("not alone")
     # Lines that end a sentence or go on with one are of the body unless they carry a number.
     body = "(ends or lower) and not has"
-    rest, text = text.where(body), text.where(f"not ({body})")
-    per = text.groupBy("book", "skel").agg(F.count("*").alias("pages"))
+    rest, text = text.where(body), text.where(f"not ({body}) and length(skel) > 3")
+    per = text.groupBy("book", "skel").agg(F.count_distinct("id").alias("pages"))
     heads = titles.groupBy(F.col("book").alias("hb"), F.col("skel").alias("hs")).agg(F.count("*").alias("heads"))
     stats = per.join(heads, F.expr("book <=> hb and skel = hs"), "left").select(F.col("book").alias("b"), F.col("skel").alias("k"), "pages", F.coalesce("heads", F.lit(0).cast("long")).alias("heads"))
     # A running title may stand on a large part of a hot book's pages: its rows are spread. Lines
@@ -342,9 +348,9 @@ def headers(edges: DataFrame, titles: DataFrame, *, sample: int = SAMPLE) -> Dat
     alone = rest.orderBy(F.xxhash64("id", "pos"), "id", "pos").limit(sample).withColumn("pages", F.lit(1).cast("long")).withColumn("heads", F.lit(0).cast("long"))
     boolean = lambda c: F.col(c).cast("double")
     shape = [
-        "id", "pos", "line", "opening", "has",
+        "id", "ts", "pos", "line", "opening", "has",
         F.log1p(F.col("pages").cast("double")).alias("pages"), (F.col("heads") > 0).cast("double").alias("heading"), F.col("title").alias("titled"), boolean("upper").alias("up"), boolean("ends").alias("end"),
-        "width", boolean("lower").alias("low"), F.col("words").cast("double").alias("long"), boolean("has").alias("num"), (F.col("pos") >= 2).cast("double").alias("bottom"), (F.col("pos") % 2).cast("double").alias("second"),
+        "width", boolean("lower").alias("low"), F.col("n").cast("double").alias("long"), boolean("has").alias("num"), (F.col("pos") >= 2).cast("double").alias("bottom"), (F.col("pos") % 2).cast("double").alias("second"),
     ]
     f = materialise(t.select(*shape))
     often = f.where((F.col("pages") > 1.5) & (F.col("end") == 0)).orderBy(F.xxhash64("id", "pos"), "id", "pos").limit(sample)
@@ -366,9 +372,9 @@ def headers(edges: DataFrame, titles: DataFrame, *, sample: int = SAMPLE) -> Dat
                 p = np.where(alike, np.maximum(p, 0.6), p)
                 p = np.where((pdf["num"] == 0) & ((pdf["end"] == 1) | (pdf["low"] == 1)), 0.0, p)
                 p = np.where((pdf["opening"] > 0) & (pdf["pos"] < 2) & (pdf["num"] == 0), 0.0, p)
-                yield pdf[["id", "pos", "line", "has"]].assign(p=p)
+                yield pdf[["id", "ts", "pos", "line", "has"]].assign(p=p)
 
-    return f.mapInPandas(run, "id long, pos int, line string, has boolean, p double")
+    return f.mapInPandas(run, "id long, ts long, pos int, line string, has boolean, p double")
 
 
 class Scans:
@@ -380,48 +386,52 @@ class Scans:
     def __init__(self, pages: DataFrame) -> None:
         self.rows = pages
         self.scanned = materialise(scan_pages(pages))
-        keep = ["id", "book", "page", "ts", "left", "sign", "right", "tail", "edge", "title", "opening", "heads"]
-        self.pages = materialise(latest(self.scanned.where("kind = 'page'"), ["id"], F.col("ts"), keep))
+        # Every version of a page is judged; what isn't of the latest is dropped at the end.
+        self.latest = pages.groupBy("id").agg(F.max("ts").alias("ts"))
         self.vocab = materialise(vocabulary(self.scanned))
         self.words = materialise(self.vocab.groupBy("word").agg(F.sum("n").alias("n")))
 
+    def of(self, kind: str) -> DataFrame:
+        return self.scanned.where(F.col("kind") == kind)
+
+    def current(self, found: DataFrame) -> DataFrame:
+        """The rows (id, ts, ...) of latest versions, without ts."""
+        now = self.latest.select(F.col("id").alias("_id"), F.col("ts").alias("_ts"))
+        return found.join(now, F.expr("id = _id and ts = _ts"), "left_semi").drop("ts")
+
     def header_lines(self) -> DataFrame:
-        """id, pos, line, has of the lines that are running titles."""
-        edges = self.pages.select("id", "book", "opening", F.explode("edge").alias("e")).select("id", "book", "opening", "e.*")
-        titles = self.pages.where("title is not null").select("book", F.col("title").alias("skel"))
-        return headers(edges, titles).where("p >= 0.5").select("id", "pos", "line", "has")
+        """id, ts, pos, line, has of the lines that are running titles."""
+        edges = self.of("edge").select("id", "ts", "book", "pos", F.col("a").alias("line"), F.col("c").alias("skel"), *[c for c in _EDGE if c != "pos"])
+        titles = self.of("title").select("book", F.col("c").alias("skel"))
+        return headers(edges.withColumn("opening", F.col("opening").cast("int")), titles).where("p >= 0.5").select("id", "ts", "pos", "line", "has")
 
     def number_lines(self, running: DataFrame) -> DataFrame:
-        """id, pos, line of page numbers alone on a line or in a running title."""
-        alone = self.pages.select("id", F.explode("edge").alias("e")).where("e.alone").select("id", "e.pos", "e.line")
-        return alone.unionByName(running.where("has").select("id", "pos", "line"))
+        """id, ts, pos, line of page numbers alone on a line or in a running title."""
+        return self.of("edge").where("alone").select("id", "ts", "pos", F.col("a").alias("line")).unionByName(running.where("has").select("id", "ts", "pos", "line"))
 
     def cut_words(self) -> DataFrame:
-        """id, l, r, sign of words cut by an inserted hyphen; r is NULL at the end of the page."""
-        z = F.explode(F.arrays_zip("left", "sign", "right")).alias("z")
+        """id, ts, l, r, sign of words cut by an inserted hyphen; r is NULL at the end of the page."""
         clean = lambda c: F.lower(F.regexp_replace(c, r"^[^\p{L}]+|[^\p{L}\p{M}]+$", ""))
-        inner = self.pages.select("id", z).select("id", clean(F.col("z.left")).alias("l"), clean(F.col("z.right")).alias("r"), F.col("z.sign").alias("sign"), F.lit(False).alias("last"))
-        nxt = self.pages.select(F.col("book").alias("b"), (F.col("page") - 1).alias("p"), F.explode("heads").alias("h"))
-        tails = self.pages.where("tail is not null").select("id", "book", "page", F.col("tail")[0].alias("t"), F.col("tail")[1].alias("sign"))
-        ends = tails.join(nxt, F.expr("book <=> b and page = p"), "left").select("id", clean(F.col("t")).alias("l"), clean(F.col("h")).alias("r"), "sign", F.lit(True).alias("last"))
+        inner = self.of("cut").select("id", "ts", clean(F.col("a")).alias("l"), clean(F.col("c")).alias("r"), F.col("b").alias("sign"), F.lit(False).alias("last"))
+        nxt = self.of("head").select(F.col("book").alias("bk"), (F.col("page") - 1).alias("p"), F.col("c").alias("h"))
+        tails = self.of("tail").select("id", "ts", "book", "page", F.col("a").alias("t"), F.col("b").alias("sign"))
+        ends = tails.join(nxt, F.expr("book <=> bk and page = p"), "left").select("id", "ts", clean(F.col("t")).alias("l"), clean(F.col("h")).alias("r"), "sign", F.lit(True).alias("last"))
         every = materialise(inner.unionByName(ends).where("l <> ''"))
-        judged = hyphens(every.where("r is not null").select("l", "r", "sign").distinct(), self.words)
+        judged = hyphens(every.where("not last").select("l", "r", "sign").distinct(), self.words)
         j = judged.select(F.col("l").alias("jl"), F.col("r").alias("jr"), F.col("sign").alias("js"), "p")
         j = j.withColumn("s", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-        got = every.withColumn("s0", F.pmod(F.xxhash64("id"), F.lit(SALTS)).cast("int")).join(j, F.expr("l = jl and r = jr and sign = js and s0 = s"), "left")
-        known = self.words.select(F.col("word").alias("kw"), F.col("n").alias("kn"))
-        within = got.where("not last and p >= 0.5").select("id", "l", "r", "sign")
-        # At the end of the page the next page's first words are only candidates for the rest.
+        got = every.where("not last").withColumn("s0", F.pmod(F.xxhash64("id"), F.lit(SALTS)).cast("int")).join(j, F.expr("l = jl and r = jr and sign = js and s0 = s"), "left")
+        within = got.where("not last and p >= 0.5").select("id", "ts", "l", "r", "sign")
+        # At the end of the page the next page's first words are only candidates for the rest,
         # and a compound cut at its own hyphen is none.
-        one = lambda n: self.words.select(F.col("word").alias(f"w{n}"), F.col("n").alias(n))
-        last = got.where("last").withColumn("jw", F.concat("l", F.coalesce("r", F.lit("")))).withColumn("cw", F.concat("l", F.lit("-"), "r"))
-        last = last.join(one("kn"), F.col("jw") == F.col("wkn"), "left").join(one("cn"), F.col("cw") == F.col("wcn"), "left").join(one("ln"), F.col("l") == F.col("wln"), "left")
-        at_end = last.groupBy("id", "l", "sign").agg(F.max(F.when(F.col("r").isNotNull(), F.col("kn"))).alias("kn"), F.max("cn").alias("cn"), F.max("ln").alias("ln"))
-        at_end = at_end.where("sign <> '-' or kn is not null or (cn is null and coalesce(ln, 0) < 30)").select("id", "l", F.lit(None).cast("string").alias("r"), "sign")
+        last = every.where("last").select("id", "ts", "l", "r", "sign").distinct()
+        n = _counts(last, self.words, {"joined": F.when(F.col("r") != "", F.concat("l", "r")), "whole": F.concat("l", F.lit("-"), "r"), "l": F.col("l")})
+        at_end = n.groupBy("id", "ts", "l", "sign").agg(F.max("n_joined").alias("kn"), F.max("n_whole").alias("cn"), F.max("n_l").alias("ln"))
+        at_end = at_end.where("sign <> '-' or kn > 0 or (cn = 0 and ln < 30)").select("id", "ts", "l", F.lit(None).cast("string").alias("r"), "sign")
         return within.unionByName(at_end)
 
     def misread_words(self) -> DataFrame:
-        """id, word, correction of misread words, from a second pass over the texts."""
+        """id, ts, word, correction of misread words, from a second pass over the texts."""
         wrong = materialise(misread(self.words))
         # Bounded: the KNOWN most frequent forms of words that aren't misread.
         known = self.vocab.join(wrong.select(F.col("word").alias("mw")), F.col("word") == F.col("mw"), "left_anti").orderBy(F.desc("n"), "raw").limit(KNOWN).select("raw")
@@ -445,10 +455,9 @@ class Scans:
                 yield pd.DataFrame({"id": pdf["id"], "ts": pdf["ts"], "rare": rare})
 
         found = self.rows.select("id", "ts", "text").mapInPandas(run, "id long, ts long, rare array<string>")
-        now = self.pages.select(F.col("id").alias("nid"), F.col("ts").alias("nts"))
-        each = found.where(F.size("rare") > 0).join(now, F.expr("id = nid and ts = nts")).select("id", F.explode("rare").alias("word")).distinct()
+        each = found.where(F.size("rare") > 0).select("id", "ts", F.explode("rare").alias("word"))
         w = wrong.select(F.col("word").alias("ww"), "correction", "p").withColumn("s", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-        return each.withColumn("s0", F.pmod(F.xxhash64("id"), F.lit(SALTS)).cast("int")).join(w, F.expr("word = ww and s0 = s")).select("id", "word", "correction", "p")
+        return each.withColumn("s0", F.pmod(F.xxhash64("id"), F.lit(SALTS)).cast("int")).join(w, F.expr("word = ww and s0 = s")).select("id", "ts", "word", "correction", "p")
 
     def noise(self) -> DataFrame:
         """id, noise: one row for each page and kind of noise."""
@@ -456,16 +465,16 @@ class Scans:
         kinds = [(self.cut_words(), "hyphen"), (self.misread_words(), "misread"), (running, "header"), (self.number_lines(running), "page_number")]
         out = None
         for df, k in kinds:
-            part = df.select("id").distinct().select("id", F.lit(k).alias("noise"))
+            part = df.select("id", "ts", F.lit(k).alias("noise"))
             out = part if out is None else out.unionByName(part)
-        return out
+        return self.current(out.distinct()).distinct()
 
     def cleaned(self) -> DataFrame:
         """id, text: the pages as continuous paragraphs without their noise."""
         running = materialise(self.header_lines())
-        drop = running.select("id", "line").unionByName(self.number_lines(running).select("id", "line")).groupBy("id").agg(F.collect_set("line").alias("drop"))
-        cuts = self.cut_words().where("r is not null").groupBy("id").agg(F.collect_set(F.concat_ws("\u0000", "l", "r")).alias("cuts"))
-        fix = self.misread_words().groupBy("id").agg(F.map_from_entries(F.collect_set(F.struct("word", "correction"))).alias("fix"))
+        drop = self.current(running.select("id", "ts", "line").unionByName(self.number_lines(running).select("id", "ts", "line"))).groupBy("id").agg(F.collect_set("line").alias("drop"))
+        cuts = self.current(self.cut_words().where("r is not null")).groupBy("id").agg(F.collect_set(F.concat_ws("\u0000", "l", "r")).alias("cuts"))
+        fix = self.current(self.misread_words()).groupBy("id").agg(F.map_from_entries(F.collect_set(F.struct("word", "correction"))).alias("fix"))
         texts = latest(self.rows, ["id"], F.col("ts"), ["id", "text"])
 
         def run(batches):

@@ -38,7 +38,7 @@ def orphans(refs: DataFrame, parents: DataFrame, keys: list[str], *, ranges: int
 
     A NULL in a key never matches, a parent without ts never counts and a reference without ts is
     an orphan. Repeated rows of refs are kept, repeated parents have no effect; either table may be
-    empty.
+    empty. Further columns are kept, but one named kind gives way to the result's.
     """
     key = F.xxhash64(*keys)
     have = parents.groupBy(*keys).agg(F.min(F.when(F.col("live"), F.col("ts"))).alias("_since"))
@@ -73,7 +73,7 @@ def orphans(refs: DataFrame, parents: DataFrame, keys: list[str], *, ranges: int
     hit = salted.join(spread, on)
     bad = hit.where(~F.col("_full") | F.col("_since").isNull() | F.col("ts").isNull() | (F.col("_since") > F.col("ts")))
     kind = F.when(F.col("_since").isNotNull() & F.col("_full"), "late").when((F.col("_known") == 1) & F.col("_full"), "deleted").otherwise("missing")
-    return bad.select(*[refs[c] for c in refs.columns], kind.alias("kind"))
+    return bad.select(*[refs[c] for c in refs.columns if c != "kind"], kind.alias("kind"))
 
 
 def by_period(found: DataFrame, refs: DataFrame) -> DataFrame:

@@ -10,8 +10,8 @@ from ..operators import pages as P
 from ..operators import parsers as X
 from ..operators import store as M
 from ..tables import load
+from . import library, texts
 from . import views as V
-from .library import _START
 from .views import BASE
 
 
@@ -90,7 +90,24 @@ _SPAN = "SELECT content_id AS page_id, i - 1 AS line_no, string_split(page_conte
 _NG = "SELECT book_id, term, max(description) AS description FROM (SELECT book_id, term, concat('new ', term) AS description FROM c_glossary WHERE description IS NULL UNION ALL SELECT book_id + 1000, term, description FROM c_glossary WHERE book_id = 41) GROUP BY ALL"
 _OG = "SELECT book_id, term, max(description) AS description FROM c_glossary GROUP BY ALL"
 
+_HEAD, _TAIL = library.ORACLE["core_page_range"].split(" SELECT b.book_id, f.s AS core_start")
+_TYPES = (
+    _HEAD
+    + ", core AS MATERIALIZED (SELECT b.book_id, f.s AS core_start" + _TAIL + ")"
+    + ", rg AS (SELECT book_id, CASE WHEN lo > 0 AND hi >= lo THEN lo END AS lo, CASE WHEN lo > 0 AND hi >= lo THEN hi END AS hi FROM (" + texts.ORACLE["range_parse"][len(BASE):] + "))"
+    + ", sc AS (SELECT *, " + " + ".join(texts._POINTS) + " AS pub FROM (SELECT book_id, page_number, page_content AS text, " + ", ".join(f"{v} AS {k}" for k, v in texts._stats("page_content").items()) + " FROM c_content))"
+    + ", ty AS (SELECT sc.book_id, page_number, text, coalesce(pub, 0) AS pub, coalesce(page_number BETWEEN lo AND hi, false) AS inr, core_start IS NOT NULL AND core_end IS NOT NULL AS b, "
+    + "length(regexp_replace(coalesce(text, ''), '^\\s+|\\s+$', '', 'g')) <= 5 AND len(regexp_extract_all(coalesce(text, ''), '\\S+')) <= 2 AS em, "
+    + "CASE WHEN coalesce(page_number BETWEEN lo AND hi, false) THEN 'Table of Contents' WHEN core_start IS NULL OR core_end IS NULL THEN 'Core' WHEN page_number < core_start THEN 'Prefix' WHEN page_number <= core_end THEN 'Core' ELSE 'Postfix' END AS ot "
+    + "FROM sc LEFT JOIN core ON core.book_id = sc.book_id LEFT JOIN rg ON rg.book_id = sc.book_id)"
+    + ", pt AS (SELECT book_id, page_number, CASE WHEN em THEN 'Empty' WHEN pub >= 6 AND NOT inr THEN 'Publisher Info' ELSE ot END AS page_type, CASE WHEN em THEN 'high' WHEN pub >= 6 AND NOT inr THEN CASE WHEN pub >= 9 THEN 'high' ELSE 'medium' END WHEN inr THEN 'high' WHEN b THEN 'medium' ELSE 'low' END AS confidence, "
+    + "CAST(CASE WHEN em THEN 9 WHEN pub >= 6 AND NOT inr THEN pub WHEN inr THEN 10 WHEN b THEN 6 ELSE 3 END AS DOUBLE) AS score, ot AS original_type FROM ty)"
+)
+
 ORACLE = {
+    "page_types": _TYPES + " SELECT * FROM pt",
+    "page_type_counts": _TYPES + " SELECT page_type, count(*) AS n FROM pt GROUP BY page_type",
+    "page_type_changes": _TYPES + " SELECT pt.book_id, pt.page_number, pt.page_type FROM pt JOIN c_map m ON m.book_id = pt.book_id AND m.page_number = pt.page_number WHERE m.page_type = 'Core' AND pt.page_type <> 'Core'",
     "glossary_upsert": BASE + f"SELECT coalesce(o.book_id, n.book_id) AS book_id, coalesce(o.term, n.term) AS term, coalesce(n.description, o.description) AS description FROM ({_OG}) o FULL JOIN ({_NG}) n ON o.book_id IS NOT DISTINCT FROM n.book_id AND o.term IS NOT DISTINCT FROM n.term",
     "glossary_insert_missing": BASE + f"SELECT * FROM ({_NG}) n WHERE NOT EXISTS (SELECT 1 FROM ({_OG}) o WHERE o.book_id = n.book_id AND o.term = n.term)",
     "toc_replace": BASE + "SELECT toc_id, book_id, toc_label FROM c_toc WHERE book_id <> 41 UNION ALL SELECT toc_id + 1000000, book_id, upper(toc_label) FROM c_toc WHERE book_id = 41",

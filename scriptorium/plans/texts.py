@@ -71,6 +71,22 @@ def _rules(w: str) -> str:
     return c
 
 
+def _cased(fixed: str, word: str) -> str:
+    """Case of a word on its corrected form."""
+    letters = f"regexp_replace({word}, '[^\\p{{L}}]', '', 'g')"
+    at = f"length(regexp_replace(substr({fixed}, 1, i), '[^\\p{{L}}]', '', 'g'))"
+    one = f"CASE WHEN NOT regexp_matches(c, '\\p{{L}}') OR {at} > length({letters}) THEN c WHEN substr({letters}, {at}, 1) = lower(substr({letters}, {at}, 1)) THEN lower(c) ELSE upper(c) END"
+    mixed = f"array_to_string([{one} FOR c, i IN string_split({fixed}, '')], '')"
+    return f"CASE WHEN {letters} = lower({letters}) THEN lower({fixed}) WHEN {letters} = upper({letters}) THEN upper({fixed}) WHEN {letters} = upper({letters}[1]) || lower({letters}[2:]) THEN upper({fixed}[1]) || lower({fixed}[2:]) ELSE {mixed} END"
+
+
+def _fixed(word: str) -> str:
+    return f"CASE WHEN regexp_matches({word}, '[ñÑåÅ]') THEN {_cased('(' + _rules(f'lower({word})') + ')', word)} ELSE {word} END"
+
+
+_TOKEN = rf"(?s)[{T.LETTERS}\-]+|\s+|[^\s\w{T.LETTERS}]+|\d+|."
+
+
 def _n(pattern: str) -> str:
     return f"CAST(len(regexp_extract_all({{t}}, '{pattern}')) AS BIGINT)"
 
@@ -103,6 +119,8 @@ ORACLE = {
         "charmap_fix": f"SELECT content_id, {_map('page_content')} AS text FROM c_content",
         "charmap_counts": "SELECT glyph, CAST(sum(length(page_content) - length(replace(page_content, glyph, ''))) AS BIGINT) AS n FROM c_content, (VALUES " + ", ".join(f"('{g}')" for g, _ in T.PAIRS) + ") g(glyph) GROUP BY glyph",
         "word_rules": f"SELECT word_id, {_rules('lower(raw_word)')} AS fixed FROM c_bank",
+        "fix_pages": f"SELECT content_id, CASE WHEN page_content = '' THEN '' ELSE array_to_string([{_fixed('t')} FOR t IN regexp_extract_all({_map('page_content')}, '{_TOKEN}')], '') END AS text FROM c_content",
+        "word_bank_update": f"SELECT word_id, v AS new_value FROM (SELECT word_id, program_fixed, {_fixed('m')} AS v FROM (SELECT word_id, program_fixed, {_map('raw_word')} AS m FROM c_bank)) WHERE v IS DISTINCT FROM program_fixed",
         "word_bank_coverage": "SELECT count(*) AS total, count(raw_word) AS raw, count(program_fixed) AS program, count(ai_fixed) AS ai FROM c_bank",
         "range_parse": "SELECT book_id, toc_pages, CASE WHEN lo > 0 AND hi >= lo THEN lo END AS lo, CASE WHEN lo > 0 AND hi >= lo THEN hi END AS hi FROM (SELECT book_id, toc_pages, try_cast(regexp_extract(toc_pages, '([0-9]+)\\s*,', 1) AS INTEGER) AS lo, CAST(try_cast(regexp_extract(toc_pages, ',\\s*([0-9]+)', 1) AS INTEGER) - CASE WHEN toc_pages LIKE '%)' THEN 1 ELSE 0 END AS INTEGER) AS hi FROM c_book)",
         "range_format": "SELECT book_id, concat('[', book_id, ',', book_id + 6, ')') AS formatted FROM c_book",

@@ -36,3 +36,10 @@ def test_hot_key(spark):
 def test_labels(spark):
     got = spark.createDataFrame([("  Xi ",), ("",), (None,)], "l string").select(R.trimmed_label(__import__("pyspark.sql.functions", fromlist=["col"]).col("l")).alias("l")).collect()
     assert [r.l for r in got] == ["xi", "", None]
+
+
+def test_other_columns(spark):
+    refs = spark.createDataFrame([(1, D(2024, 1, 5), 1, "x", False)], "row_id long, ts timestamp, k1 long, kind string, live boolean")
+    parents = spark.createDataFrame([(2, D(2023, 1, 1), True, "y", 5)], "k1 long, ts timestamp, live boolean, kind string, row_id long")
+    got = R.orphans(refs, parents, ["k1"])
+    assert got.columns.count("kind") == 1 and rows(got) == [(1, "missing")]

@@ -181,7 +181,9 @@ def canonical(values: DataFrame, *, shards: int = SHARDS) -> DataFrame:
 
 def apply(rows: DataFrame, *, shards: int = SHARDS) -> DataFrame:
     """rows: src_table, row_id, value. Adds canonical (trimmed) and changed: whether the value is
-    altered other than by trimming. NULL and blank values stay as they are."""
+    altered other than by trimming. NULL and blank values stay as they are. Other
+    columns have no effect."""
+    rows = rows.select("src_table", "row_id", "value")
     odd = rows.where(~F.col("value").rlike(PLAIN))
     mapping = canonical(rows.groupBy("value").agg(F.count("*").alias("n")), shards=shards)
     spread = mapping.select(F.col("value").alias("_v"), "canonical", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("_s"))

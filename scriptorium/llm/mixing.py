@@ -24,7 +24,7 @@ SEED = 7
 
 def budget_of(sizes: DataFrame, targets: DataFrame) -> float:
     """The largest total at which no source with records runs out of repeats."""
-    per = sizes.where("tokens > 0").groupBy("source").agg(F.sum("tokens").alias("have")).join(targets.where("target_share > 0 and max_repeats > 0"), "source")
+    per = sizes.where("tokens > 0").groupBy("source").agg(F.sum("tokens").alias("have")).join(targets.where("target_share > 0 and max_repeats > 0").select("source", "target_share", "max_repeats"), "source")
     r = per.agg(F.min(F.col("have") * F.col("max_repeats") / F.col("target_share")).alias("v"), F.sum("target_share").alias("w")).first()
     return float(r["v"] * r["w"]) if r["v"] is not None else 0.0
 
@@ -36,8 +36,10 @@ def mix(sizes: DataFrame, targets: DataFrame, budget: float | None = None, *, sl
     prefix of the fair order whose tokens don't exceed ``budget`` (default: see budget_of). A
     source without records has no part, and the others keep their proportions to each other; once
     a source has used up its repeats the rest go on without it. Sources without a target, records
-    without tokens and shares or repeats that are NULL or not positive are left out.
+    without tokens and shares or repeats that are NULL or not positive are left out. Other columns
+    of either table have no effect.
     """
+    sizes = sizes.select("doc_id", "source", "tokens")
     t = targets.where("target_share > 0 and max_repeats > 0").select("source", "target_share", "max_repeats")
     if budget is None:
         budget = budget_of(sizes, targets)
@@ -73,7 +75,7 @@ def shares(mixture: DataFrame, targets: DataFrame) -> DataFrame:
     # One row per source.
     all_ = per.agg(F.sum("tokens").alias("all_tokens")).withColumn("_one", F.lit(1))
     zero = [F.coalesce(c, F.lit(0).cast("long")).alias(c) for c in ("tokens", "records", "uses", "most_uses")]
-    return targets.join(per, "source", "left").withColumn("_one", F.lit(1)).join(F.broadcast(all_), "_one", "left").select("source", "target_share", "max_repeats", *zero, F.coalesce(F.col("tokens") / F.col("all_tokens"), F.lit(0.0)).alias("actual_share"))
+    return targets.select("source", "target_share", "max_repeats").join(per, "source", "left").withColumn("_one", F.lit(1)).join(F.broadcast(all_), "_one", "left").select("source", "target_share", "max_repeats", *zero, F.coalesce(F.col("tokens") / F.col("all_tokens"), F.lit(0.0)).alias("actual_share"))
 
 
 def _mixture(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:

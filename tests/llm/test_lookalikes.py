@@ -39,3 +39,8 @@ def test_apply_edges(spark):
     assert long.canonical == "x" * 5000 and long.changed
     assert L.apply(df.limit(0)).count() == 0
     assert L.apply(df).count() == len(rows)
+
+
+def test_other_columns(spark):
+    df = spark.createDataFrame([("t", 1, "pa\u200bdma", "x", True)], "src_table string, row_id long, value string, canonical string, changed boolean")
+    assert [tuple(r) for r in L.apply(df, shards=2).collect()] == [("t", 1, "pa\u200bdma", "padma", True)]

@@ -38,3 +38,10 @@ def test_budget_beyond_and_empty(spark):
     assert s["b"].most_uses == 4 and s["a"].most_uses == 1 and s["none"].uses == 0 and s["bad"].actual_share == 0
     assert M.mix(sizes.limit(0), t).count() == 0
     assert M.mix(sizes, t.limit(0)).count() == 0
+
+
+def test_other_columns(spark):
+    sizes, t = data(spark)
+    more = sizes.selectExpr("*", "'x' as copy", "1.0 as target_share", "3 as slice")
+    assert M.mix(more, t.selectExpr("*", "9 as tokens")).count() == M.mix(sizes, t).count()
+    assert M.shares(M.mix(sizes, t), t.selectExpr("*", "9 as tokens")).count() == 5

@@ -7,15 +7,16 @@ import unicodedata
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(StringType())
 def nfc(s: pd.Series) -> pd.Series:
     """Composed form; NULL stays."""
     return s.map(lambda x: None if x is None else unicodedata.normalize("NFC", x))
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(StringType())
 def sort_key(s: pd.Series) -> pd.Series:
     """Letters, digits and spaces without their marks, in lower case."""
     return s.map(lambda x: None if x is None else " ".join("".join(c for c in unicodedata.normalize("NFKD", x) if c.isalnum() or c == " ").split()).lower())

@@ -66,6 +66,8 @@ def _unread(run: str, reader: str, damaged: bool) -> str | None:
         if not damaged or not any(b >= 0xC3 for b in raw):
             return None
     got = re.sub(LOST + "+", LOST, raw.decode("utf-8", "replace"))
+    if any(unicodedata.category(c) in ("Cn", "Co") for c in got):
+        return None
     # Something must speak for UTF-8: a whole sequence, two bytes of one of Latin Extended
     # Additional or of general punctuation, or the first byte of most Latin letters where its sign
     # is no letter of right text.

@@ -109,6 +109,20 @@ def cuts_of(lines: list[str]) -> list[tuple[str, str, str]]:
     return out
 
 
+_CUT = re.compile(rf"[{HYPHENS}]\s*\n")
+
+
+def forms_of(text: str) -> set[str]:
+    """The word forms of a page, cut words whole; their parts only where they stand alone as well."""
+    tokens = text.split()
+    if not _CUT.search(text):
+        return {x for x in tokens if x[-1] not in HYPHENS}
+    cuts = cuts_of([y for x in text.split("\n") if (y := x.strip())])
+    n = Counter(tokens)
+    n.subtract(r for _, _, r in cuts)
+    return {x for x, k in n.items() if k > 0 and x[-1] not in HYPHENS} | {l + r for l, _, r in cuts}
+
+
 def scan_pages(rows: DataFrame) -> DataFrame:
     """rows: id, ts, book, page, text. Flat rows of several kinds, in columns a, b, c and others:
 
@@ -447,11 +461,7 @@ class Scans:
                     if t is None:
                         rare.append([])
                         continue
-                    left = set(t.split()) - skip
-                    if any(x[-1] in HYPHENS for x in left):
-                        lines = [y for y in map(str.strip, t.split("\n")) if y]
-                        left = {x for x in left if x[-1] not in HYPHENS} - {r for _, _, r in cuts_of(lines)}
-                    rare.append(sorted({b for x in left if (b := bare(x))}))
+                    rare.append(sorted({b for x in forms_of(t) - skip if (b := bare(x))}))
                 yield pd.DataFrame({"id": pdf["id"], "ts": pdf["ts"], "rare": rare})
 
         found = self.rows.select("id", "ts", "text").mapInPandas(run, "id long, ts long, rare array<string>")
@@ -497,7 +507,8 @@ def clean(text: str, drop: set[str], cuts: set[str], fix: dict[str, str]) -> str
 
     def join(m: re.Match) -> str:
         key = edge.sub("", m[1]).lower() + "\0" + edge.sub("", m[3]).lower()
-        return m[1] + m[3] if key in cuts else m[1] + m[2] + m[3]
+        # That the whole is a misread word says as well that the hyphen was inserted.
+        return m[1] + m[3] if key in cuts or bare(m[1] + m[3]) in fix else m[1] + m[2] + m[3]
 
     body = _BROKEN.sub(join, "\n".join(lines).strip())
     paragraphs = [" ".join(x.split()) for x in re.split(r"\n\s*\n", body)]

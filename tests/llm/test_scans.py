@@ -79,3 +79,19 @@ def test_page_numbers(line, alone, has):
 def test_clean():
     t = "The Title   4\nThe r!ver is peace-\nful and well-\nknown.\n\nA new\nday.\n— 4 —"
     assert S.clean(t, {"The Title   4", "— 4 —"}, {"peace\0ful"}, {"r!ver": "river"}) == "The river is peaceful and well-known.\n\nA new day."
+
+
+def test_misread_word_cut_at_a_line_end(spark):
+    r = random.Random(3)
+    rows = [(i, 1, 2, i, page(r, 2, i)[0]) for i in range(100)]
+    rows += [(200, 1, 2, 200, "The teacher walks in the gar-\nclen of the temple."), (201, 1, 2, 201, "A clen here.\nThe gar-\nclen of the temple.")]
+    x = S.Scans(frame(spark, rows))
+    assert {(m.id, m.word, m.correction) for m in x.misread_words().collect()} >= {(200, "garclen", "garden"), (201, "garclen", "garden")}
+    assert {n.id for n in x.noise().collect() if n.noise == "misread"} >= {200, 201}
+    assert {c.id: c.text for c in x.cleaned().collect()}[200] == "The teacher walks in the garden of the temple."
+
+
+def test_forms_of_a_page():
+    assert S.forms_of("a gar-\nclen and\nclen pre-\n4") == {"a", "garclen", "and", "clen", "4"}
+    assert S.forms_of("a gar-\nclen and") == {"a", "garclen", "and"}
+    assert S.forms_of("well- done") == {"done"}

@@ -5,8 +5,8 @@ to the nearest signed axis. Several tables with other rotations are kept; in eac
 the bucket of its nearest axis and in those of the next best probes. All vectors of a bucket are
 compared exactly in blocks, and the best k over all buckets are kept. The number of buckets follows
 the number of vectors, so a bucket holds a few hundred vectors at any size. Buckets that hold more
-than ``hot`` all the same are split by further rotations, and equal vectors, which no rotation can
-split, by their ids.
+than ``hot`` all the same, such as dense clusters, are compared whole as well: in parts, each part
+with each. Of equal vectors k + 1 take part in that; they are the nearest of all further copies.
 """
 
 from __future__ import annotations
@@ -19,6 +19,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
+from ..session import materialise
 from ..tables import latest, load, recency
 
 K = 5
@@ -26,9 +27,9 @@ DIM = 96
 TABLES = 2
 PROBES = 2
 BUCKET = 512  # vectors for each bucket, on average, before probes
-HOT = 16_384  # a larger bucket is split
+HOT = 16_384  # a larger bucket is compared in parts of this size
 SEED = 20_240
-FINER = ((5, 104_729), (8, 1_299_709))  # bits and seed of the hashes that split hot buckets, two probes each
+SALTS = 16
 
 
 def usable(vec: Column, dim: int = DIM) -> Column:
@@ -118,25 +119,15 @@ def _assign(packed: DataFrame, dim: int, bits: int, tables: int, probes: int, se
             if not len(pdf):
                 continue
             u = _unpack(pdf["packed"], dim)
-            fine = [list(hashes(u, x, 2, seed + y)) for x, y in FINER] if with_vec else None
             for t in range(tables):
                 b = hashes(u, bits, probes, seed + 1_000 * t)
                 for p in range(b.shape[1]):
                     out = {"bucket": (b[:, p] * tables + t)}
                     if with_vec:
-                        out |= {"f1": fine[0], "f2": fine[1], "id": pdf["id"], "packed": pdf["packed"]}
+                        out |= {"id": pdf["id"], "packed": pdf["packed"]}
                     yield pd.DataFrame(out)
 
-    return packed.mapInPandas(run, "bucket long" + (", f1 array<long>, f2 array<long>, id long, packed binary" if with_vec else ""))
-
-
-def _split(rows: DataFrame, keys: list[str], hot: int) -> tuple[DataFrame, DataFrame | None]:
-    """Rows of groups that are small enough, and those of all others spread over finer groups."""
-    big = rows.groupBy(*keys).agg(F.count("*").alias("_n")).where(F.col("_n") > hot)
-    if big.isEmpty():
-        return rows, None
-    here = [F.coalesce(F.col(k), F.lit(-1).cast("long")).alias(k) for k in keys]
-    return rows.join(big.select(*here), keys, "left_anti"), rows.join(big.select(*here, "_n"), keys)
+    return packed.mapInPandas(run, "bucket long" + (", id long, packed binary" if with_vec else ""))
 
 
 def _best(k: int, dim: int, block: int = 1024):
@@ -160,6 +151,46 @@ def _best(k: int, dim: int, block: int = 1024):
     return run
 
 
+def _across(k: int, dim: int, block: int = 1024):
+    """The best k of each row of part lo in part hi and the other way round; within the part if they are the same."""
+    within = _best(k, dim, block)
+
+    def run(pdf: pd.DataFrame) -> pd.DataFrame:
+        if not len(pdf) or pdf["lo"].iloc[0] == pdf["hi"].iloc[0]:
+            return within(pdf[["id", "packed"]])
+        first = (pdf["part"] == pdf["lo"]).to_numpy()
+        sides = [(x["id"].to_numpy(), _unpack(x["packed"], dim)) if len(x) else None for x in (pdf[first], pdf[~first])]
+        if None in sides:
+            return within(pdf[["id", "packed"]].head(0))
+        out = []
+        for (ids, u), (others, v) in (sides, sides[::-1]):
+            kk = min(k, len(others))
+            for i in range(0, len(ids), block):
+                s = u[i : i + block] @ v.T
+                top = np.argpartition(s, len(others) - kk, axis=1)[:, len(others) - kk :] if kk < len(others) else np.tile(np.arange(kk), (len(s), 1))
+                out.append(pd.DataFrame({"id": np.repeat(ids[i : i + block], kk), "neighbour": others[top].ravel(), "sim": np.take_along_axis(s, top, 1).ravel()}))
+        return pd.concat(out)
+
+    return run
+
+
+def _compare_hot(rows: DataFrame, k: int, dim: int, hot: int) -> DataFrame:
+    """id, neighbour, sim within each bucket of rows (bucket, id, packed), however large it is."""
+    nth = F.row_number().over(W.partitionBy("bucket", "packed").orderBy("id"))
+    some = materialise(rows.withColumn("nth", nth).where(F.col("nth") <= k + 1))
+    # The rest of more than k + 1 copies: the first k of them are as near as any.
+    first = some.where(F.col("nth") <= k).select(F.col("bucket").alias("b"), F.col("packed").alias("v"), F.col("id").alias("neighbour"))
+    full = some.where(F.col("nth") == k + 1).select(F.col("bucket").alias("b"), F.col("packed").alias("v"), F.col("id").alias("last"))
+    near = first.join(full, ["b", "v"]).groupBy("b", "v").agg(F.max("last").alias("last"), F.collect_list("neighbour").alias("near"))
+    near = near.withColumn("s", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    rest = rows.withColumn("s0", F.pmod(F.xxhash64("id"), F.lit(SALTS)).cast("int")).join(near, F.expr("bucket = b and packed = v and s0 = s and id > last"))
+    copies = rest.select("id", F.explode("near").alias("neighbour"), F.lit(1.0).cast("float").alias("sim"))
+    sizes = some.groupBy("bucket").agg(F.ceil(F.count("*") / hot).cast("int").alias("parts"))
+    cut = some.join(sizes, "bucket").withColumn("part", F.pmod(F.xxhash64("id"), F.col("parts")).cast("int"))
+    met = cut.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).select("bucket", F.least("part", "other").alias("lo"), F.greatest("part", "other").alias("hi"), "part", "id", "packed")
+    return met.groupBy("bucket", "lo", "hi").applyInPandas(_across(k, dim), "id long, neighbour long, sim float").unionByName(copies)
+
+
 def knn(packed: DataFrame, n: int, *, k: int = K, dim: int = DIM, tables: int = TABLES, probes: int = PROBES, hot: int = HOT, bucket: int = BUCKET, seed: int = SEED) -> DataFrame:
     """packed: id (unique), packed; n: about how many. Returns id, neighbour, sim, rank (1 to k).
 
@@ -171,22 +202,14 @@ def knn(packed: DataFrame, n: int, *, k: int = K, dim: int = DIM, tables: int =
     sizes = _assign(packed, dim, bits, tables, probes, seed, False).groupBy("bucket").agg(F.count("*").alias("_n"))
     big = sizes.where(F.col("_n") > hot)
     rows = _assign(packed, dim, bits, tables, probes, seed, True)
-    none = F.lit(-1).cast("long")
-    keys = ["bucket", "g1", "g2", "g3"]
-    all_ = rows.select("bucket", none.alias("g1"), none.alias("g2"), none.alias("g3"), "id", "packed")
+    hot_rows = None
     if not big.isEmpty():
         # At most entries / hot buckets are hot.
         big = big.select("bucket")
-        all_ = all_.join(big, "bucket", "left_anti")
-        finer = rows.join(big, "bucket").withColumn("g1", F.explode("f1"))
-        cool, warm = _split(finer, ["bucket", "g1"], hot)
-        all_ = all_.unionByName(cool.select("bucket", "g1", none.alias("g2"), none.alias("g3"), "id", "packed"))
-        if warm is not None:
-            cool, warm = _split(warm.drop("_n").withColumn("g2", F.explode("f2")), ["bucket", "g1", "g2"], hot)
-            all_ = all_.unionByName(cool.select("bucket", "g1", "g2", none.alias("g3"), "id", "packed"))
-            if warm is not None:  # copies, or nearly so: any of them are as near
-                all_ = all_.unionByName(warm.select("bucket", "g1", "g2", F.pmod(F.xxhash64("id"), F.ceil(F.col("_n") / hot)).alias("g3"), "id", "packed"))
-    near = all_.groupBy(*keys).applyInPandas(_best(k, dim), "id long, neighbour long, sim float")
+        rows, hot_rows = rows.join(big, "bucket", "left_anti"), rows.join(big, "bucket")
+    near = rows.groupBy("bucket").applyInPandas(_best(k, dim), "id long, neighbour long, sim float")
+    if hot_rows is not None:
+        near = near.unionByName(_compare_hot(hot_rows, k, dim, hot))
     best = near.repartition(F.col("id")).groupBy("id", "neighbour").agg(F.max("sim").alias("sim"))
     w = W.partitionBy("id").orderBy(F.col("sim").desc(), F.col("neighbour"))
     return best.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)

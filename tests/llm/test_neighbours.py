@@ -1,4 +1,5 @@
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -53,3 +54,20 @@ def test_recall_on_table(spark):
     want = {tuple(sorted((ids[i], ids[j]))) for i, row in enumerate(exact(u, 5)) for j in row}
     got = {(r[0], r[1]) for r in N.p5_found(spark, sf).collect()}
     assert len(want & got) / len(want) >= 0.9 and len(want & got) / len(got) >= 0.9
+
+
+@pytest.mark.parametrize("cosine", [0.999, 0.9])
+def test_dense_cluster_larger_than_hot(spark, cosine):
+    r = np.random.default_rng(7)
+    c = r.normal(size=96)
+    v = c / np.linalg.norm(c) + np.sqrt(1 / cosine - 1) * r.normal(size=(3000, 96)) / np.sqrt(96)
+    v = np.concatenate([v, np.repeat(v[:2], 12, axis=0), r.normal(size=(1000, 96))])
+    u = N._unpack(pd.Series(N._pack(v / np.linalg.norm(v, axis=1, keepdims=True))), 96)
+    got = {}
+    for x in N.knn(frame(spark, v), len(v), hot=300).collect():
+        got.setdefault(x.id, set()).add(x.neighbour)
+    want = exact(u, 5)
+    assert np.mean([len(got[i] & set(want[i])) / 5 for i in range(2, 3000)]) >= 0.95
+    for i in range(2):
+        copies = [i, *range(3000 + 12 * i, 3012 + 12 * i)]
+        assert all(got[j] <= set(copies) and len(got[j]) == 5 for j in copies)

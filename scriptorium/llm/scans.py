@@ -249,9 +249,9 @@ def misread(vocab: DataFrame, *, sample: int = SAMPLE) -> DataFrame:
     confusion spoils, differ by one or two shapes and in frequency. No word is left out for its
     trigrams being frequent."""
     v = materialise(vocab.where("length(word) between 3 and 40"))
-    strong = v.where((F.col("n") >= STRONG) & F.col("word").rlike(r"^[^\W\d_][^\d!|]*$")).select(F.col("word").alias("v"), F.col("n").alias("vn"))
+    strong = v.where((F.col("n") >= STRONG) & F.col("word").rlike(r"^\p{L}[^\d!|]*$")).select(F.col("word").alias("v"), F.col("n").alias("vn"))
     # A word as frequent as every correction needs none: the most frequent word bounds the weak side.
-    weak = v.where(F.col("word").rlike(r"[^\W\d_]")).select("word", "n", F.explode(F.array_distinct(_grams())).alias("g"), F.length("word").alias("len"))
+    weak = v.where(F.col("word").rlike(r"\p{L}")).select("word", "n", F.explode(F.array_distinct(_grams())).alias("g"), F.length("word").alias("len"))
     post = strong.select("v", "vn", F.explode(F.array_distinct(_grams("v"))).alias("g"), F.length("v").alias("vlen"))
     # Rare words have few partners as frequent as RATIO times: compared inside the join.
     met = weak.join(post, "g").where((F.abs(F.col("len") - F.col("vlen")) <= 2) & (F.col("vn") >= RATIO * F.col("n"))).groupBy("word", "v").agg(F.count("*").alias("shared"), F.first("n").alias("n"), F.first("vn").alias("vn"), F.first("len").alias("len"))

@@ -95,3 +95,10 @@ def test_forms_of_a_page():
     assert S.forms_of("a gar-\nclen and\nclen pre-\n4") == {"a", "garclen", "and", "clen", "4"}
     assert S.forms_of("a gar-\nclen and") == {"a", "garclen", "and"}
     assert S.forms_of("well- done") == {"done"}
+
+
+def test_misread_words_beyond_ascii(spark):
+    words = [("śāstrani", 400), ("śāstrarii", 2), ("ātmaniva", 300), ("ātrnaniva", 1), ("āśoḥ", 90), ("āś0ḥ", 1)]
+    rows = spark.createDataFrame(words + [(w, 30) for w in WORDS], "word string, n long")
+    got = {r.word: r.correction for r in S.misread(rows).collect()}
+    assert {w: got.get(w) for w in ("śāstrarii", "ātrnaniva", "āś0ḥ")} == {"śāstrarii": "śāstrani", "ātrnaniva": "ātmaniva", "āś0ḥ": "āśoḥ"}

@@ -6,6 +6,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from ..session import materialise
+
 # Glyphs of legacy fonts.
 GLYPHS = "åäëéïöüúùÿçîòµß®√∂∫†ñ"
 UPPER = "ÅÄËÉÏÖÜÚÙŸÇÎÒÑ"
@@ -66,6 +68,29 @@ def ambiguous_words(pages: DataFrame) -> DataFrame:
     return n.join(bad, ["diacritic", "word"], "left_anti")
 
 
+def ambiguous_words_in_order(pages: DataFrame) -> DataFrame:
+    """Words (or parts of compounds) with å or ñ per diacritic, read in order: an occurrence counts
+    unless another word that contains it came before (W8, without fonts, which pages don't have).
+
+    Containment is transitive, so what counts are the occurrences before the first of any container."""
+    tokens = F.regexp_extract_all("page_content", F.lit(WORD), F.lit(0))
+    w = pages.select("book_id", "page_number", "content_id", F.posexplode(tokens).alias("pos", "whole")).where(F.col("whole").rlike("[åñÅÑ]"))
+    w = w.select("book_id", "page_number", "content_id", "pos", F.posexplode(F.filter(F.split("whole", "-"), lambda p: p.rlike("[åñÅÑ]"))).alias("part", "word"))
+    w = w.select("book_id", "word", F.struct("book_id", "page_number", "content_id", "pos", "part").alias("at"), F.explode(F.array_distinct(F.regexp_extract_all(F.lower("word"), F.lit("[åñ]"), F.lit(0)))).alias("diacritic"))
+    w = materialise(w)
+    first = w.groupBy("diacritic", "word").agg(F.min("at").alias("first"))
+    size = F.length("word")
+    grams = lambda n: F.when(size >= n, F.transform(F.sequence(F.lit(1), size - (n - 1)), lambda i: F.substr("word", i, F.lit(n)))).otherwise(F.array().cast("array<string>"))
+    # A contained word is met through its rarest trigram, a shorter one through itself.
+    df = first.select("diacritic", "word", "first", F.explode(F.array_distinct(F.concat(grams(1), grams(2), grams(3)))).alias("g"))
+    own = df.where(F.length("g") == F.least(size, F.lit(3))).select("diacritic", "word", "g")
+    freq = own.groupBy("diacritic", "g").agg(F.count("*").alias("f"))
+    key = own.join(freq, ["diacritic", "g"]).groupBy("diacritic", "word").agg(F.min(F.struct("f", "g")).alias("m")).select("diacritic", F.col("word").alias("inner"), F.col("m.g").alias("g"))
+    cut = df.join(key, ["diacritic", "g"]).where((F.col("word") != F.col("inner")) & F.contains("word", "inner")).groupBy("diacritic", F.col("inner").alias("word")).agg(F.min("first").alias("cut"))
+    kept = w.join(cut, ["diacritic", "word"], "left").where(F.col("cut").isNull() | (F.col("at") < F.col("cut")))
+    return kept.groupBy("diacritic", "word").agg(F.count("*").alias("n"), F.array_join(F.array_sort(F.collect_set("book_id")).cast("array<string>"), ",").alias("books"))
+
+
 def script_profile(pages: DataFrame) -> DataFrame:
     """Per book: words by script class and the profile their shares give."""
     w = pages.select("book_id", F.explode(F.split("page_content", r"\s+")).alias("w")).where("w <> ''")

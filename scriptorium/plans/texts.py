@@ -49,6 +49,7 @@ QUERIES = {
     "glyph_top5": lambda s, d: G.top(V.glyph_words(s, d), "glyph"),
     "char_glyphs": lambda s, d: G.char_glyphs(V.content(s, d), ALLOWED).withColumn("codepoint", X.code_point(F.col("char"))),
     "ambiguous_words": lambda s, d: G.ambiguous_words(V.content(s, d)),
+    "ambiguous_words_in_order": lambda s, d: G.ambiguous_words_in_order(V.content(s, d)),
     "font_profile": lambda s, d: G.script_profile(V.content(s, d)),
     "vector_topk": lambda s, d: N.top_k(load(s, d, "embeddings"), _query(s, d), 10).select("vec_id", F.round("similarity", 5).alias("similarity")),
     "vector_missing": lambda s, d: N.pending(V.glossary(s, d).select("glossary_id"), load(s, d, "glossary_embeddings").select("glossary_id").distinct(), "glossary_id"),
@@ -134,6 +135,7 @@ ORACLE = {
         "glyph_top5": "SELECT glyph, CAST(sum(occurrence_count) AS BIGINT) AS total FROM c_glyph GROUP BY glyph ORDER BY total DESC NULLS LAST, glyph LIMIT 5",
         "char_glyphs": f"SELECT book_id, char, count(*) AS n, count(DISTINCT page_number) AS pages, min(page_number) AS first_page, concat('U+', lpad(printf('%X', unicode(char)), 4, '0')) AS codepoint FROM (SELECT book_id, page_number, unnest(regexp_extract_all(page_content, '[^{ALLOWED}]')) AS char FROM c_content) GROUP BY book_id, char",
         "ambiguous_words": f", w AS (SELECT book_id, unnest(regexp_extract_all(page_content, '{_W}')) AS whole FROM c_content), v AS (SELECT book_id, unnest(CASE WHEN len([p FOR p IN string_split(whole, '-') IF regexp_matches(p, '[åñÅÑ]')]) > 0 THEN [p FOR p IN string_split(whole, '-') IF regexp_matches(p, '[åñÅÑ]')] ELSE [whole] END) AS word FROM w WHERE regexp_matches(whole, '[åñÅÑ]')), x AS (SELECT book_id, word, unnest(list_distinct(regexp_extract_all(lower(word), '[åñ]'))) AS diacritic FROM v), n AS MATERIALIZED (SELECT diacritic, word, count(*) AS n, array_to_string(list_sort(list_distinct(list(book_id))), ',') AS books FROM x GROUP BY ALL) SELECT * FROM n a WHERE NOT EXISTS (SELECT 1 FROM n b WHERE b.diacritic = a.diacritic AND b.word <> a.word AND length(b.word) >= 3 AND contains(a.word, b.word))",
+        "ambiguous_words_in_order": f", w AS (SELECT book_id, page_number, content_id, unnest(regexp_extract_all(page_content, '{_W}')) AS whole, generate_subscripts(regexp_extract_all(page_content, '{_W}'), 1) AS pos FROM c_content), p AS (SELECT book_id, page_number, content_id, pos, unnest(string_split(whole, '-')) AS word, generate_subscripts(string_split(whole, '-'), 1) AS part FROM w WHERE regexp_matches(whole, '[åñÅÑ]')), v AS (SELECT book_id, word, row_number() OVER (ORDER BY book_id NULLS FIRST, page_number NULLS FIRST, content_id NULLS FIRST, pos, part) AS place FROM p), x AS MATERIALIZED (SELECT book_id, word, place, unnest(list_distinct(regexp_extract_all(lower(word), '[åñ]'))) AS diacritic FROM v), f AS MATERIALIZED (SELECT diacritic, word, min(place) AS opened FROM x GROUP BY ALL), c AS (SELECT a.diacritic, a.word, min(b.opened) AS cut FROM f a JOIN f b ON b.diacritic = a.diacritic AND b.word <> a.word AND contains(b.word, a.word) GROUP BY ALL) SELECT diacritic, word, count(*) AS n, array_to_string(list_sort(list_distinct(list(book_id))), ',') AS books FROM x LEFT JOIN c USING (diacritic, word) WHERE cut IS NULL OR place < cut GROUP BY diacritic, word",
         "font_profile": ", w AS (SELECT book_id, unnest(regexp_split_to_array(page_content, '\\s+')) AS w FROM c_content), c AS (SELECT book_id, count(*) AS words, count(*) FILTER (WHERE regexp_matches(w, '[\\x{0900}-\\x{097F}]')) AS dev, count(*) FILTER (WHERE NOT regexp_matches(w, '[\\x{0900}-\\x{097F}]') AND regexp_matches(w, '[āīūṛṝṣśṅñṁḥḍṭṇḷ]')) AS iast, count(*) FILTER (WHERE NOT regexp_matches(w, '[\\x{0900}-\\x{097F}āīūṛṝṣśṅñṁḥḍṭṇḷ]') AND regexp_matches(w, '[äåçéëïöüìùòà]')) AS legacy FROM w WHERE w <> '' GROUP BY book_id) SELECT *, CASE WHEN dev / words >= 0.05 AND dev > iast AND dev > legacy THEN 'devanagari' WHEN iast / words >= 0.03 AND legacy / words <= 0.01 THEN 'unicode_iast' WHEN legacy / words >= 0.01 AND legacy >= iast THEN 'legacy_glyph' ELSE 'plain_latin' END AS profile FROM c",
         "vector_topk": "SELECT vec_id, round(list_cosine_similarity(CAST(embedding AS DOUBLE[]), (SELECT CAST(embedding AS DOUBLE[]) FROM embeddings WHERE vec_id = 0)), 5) AS similarity FROM embeddings ORDER BY list_cosine_similarity(CAST(embedding AS DOUBLE[]), (SELECT CAST(embedding AS DOUBLE[]) FROM embeddings WHERE vec_id = 0)) DESC, vec_id LIMIT 10",
         "vector_missing": "SELECT glossary_id FROM c_glossary WHERE glossary_id NOT IN (SELECT glossary_id FROM glossary_embeddings)",

@@ -66,6 +66,12 @@ def test_ambiguous_words(spark):
     assert {(r.diacritic, r.word) for r in G.ambiguous_words(p).collect()} == {("å", "kåla"), ("å", "måñana"), ("ñ", "måñana"), ("ñ", "ñ"), ("ñ", "ñu")}
 
 
+def test_ambiguous_words_in_order(spark):
+    p = spark.createDataFrame([(3, 2, 1, "kåla ñu"), (1, 1, 1, "kåla kåla akåla-deva kåla ñ ñ"), (2, 1, 2, "ñu ñ akåla å"), (4, 3, 1, None)], "content_id int, book_id int, page_number int, page_content string")
+    got = {(r.diacritic, r.word, r.n, r.books) for r in G.ambiguous_words_in_order(p).collect()}
+    assert got == {("å", "kåla", 2, "1"), ("å", "akåla", 2, "1"), ("ñ", "ñ", 2, "1"), ("ñ", "ñu", 2, "1,2")}
+
+
 def test_glyph_words_bounded(spark):
     p = spark.createDataFrame([(1, n, "äa äb äc äa") for n in range(1, 31)], "book_id int, page_number int, page_content string")
     r = G.glyph_words(p, most_pages=3, most_words=2).where("glyph = 'ä'").first()

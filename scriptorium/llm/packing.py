@@ -94,6 +94,18 @@ def _packer(window: int):
     return run
 
 
+def carried(held: DataFrame, share: DataFrame) -> DataFrame:
+    """held: source, part, held (tokens). share: source, share. Adds share and deficit: what the
+    partitions before left the source short of (or gave too much), which is its share of all their
+    tokens, also of those that have none of it, less what it had there."""
+    upto = W.orderBy("part").rowsBetween(W.unboundedPreceding, -1)
+    none = F.lit(0).cast("long")
+    # One row per partition of PARTITION_TOKENS.
+    of_part = held.groupBy("part").agg(F.sum("held").alias("all")).select("part", F.coalesce(F.sum("all").over(upto), none).alias("all"))
+    own = F.coalesce(F.sum("held").over(W.partitionBy("source").orderBy("part").rowsBetween(W.unboundedPreceding, -1)), none)
+    return held.withColumn("own", own).join(of_part, "part").join(share, "source").select("source", "part", "share", (F.col("share") * F.col("all") - F.col("own")).alias("deficit"))
+
+
 def pack(sizes: DataFrame, capacities: list[int], *, share: DataFrame | None = None, partition_tokens: int = PARTITION_TOKENS, window: int = WINDOW, seed: int = SEED) -> DataFrame:
     """sizes: doc_id, source, tokens (not NULL). Returns capacity_tokens, container_id, doc_id,
     piece (from 0), tokens.
@@ -115,11 +127,7 @@ def pack(sizes: DataFrame, capacities: list[int], *, share: DataFrame | None = N
     else:
         share = held.select("source").distinct().join(share.select(F.coalesce("source", F.lit("")).alias("source"), "share"), "source", "left")
     share = share.withColumn("share", F.greatest(F.coalesce("share", F.lit(0.0)), F.lit(1e-9)))
-    # What the partitions before left a source short of (or gave too much), by prefix sums of a
-    # table of sources by partitions.
-    of_part = held.groupBy("part").agg(F.sum("held").alias("all"))
-    upto = W.partitionBy("source").orderBy("part").rowsBetween(W.unboundedPreceding, -1)
-    start = held.join(of_part, "part").join(share, "source").withColumn("deficit", F.coalesce(F.sum(F.col("share") * F.col("all") - F.col("held")).over(upto), F.lit(0.0))).select("source", "part", "share", "deficit")
+    start = carried(held, share)
     rows = s.join(start, ["source", "part"]).withColumn("capacity", F.explode(F.array(*[F.lit(int(c)) for c in capacities])))
     return rows.groupBy("capacity", "part").applyInPandas(_packer(window), "capacity_tokens int, container_id long, doc_id long, piece int, tokens int")
 

@@ -51,3 +51,20 @@ def test_windows_keep_proportions():
     for w in got[:-1]:
         assert abs((src[w] == "b").mean() - 0.1) < 0.03
     assert (src[P.drr(np.full(1000, 10), src, {"a": 0.9, "b": 0.1}, {"b": 100.0}, 500.0)[0]] == "b").sum() >= 14
+
+
+def test_absent_source_is_credited(spark):
+    held = spark.createDataFrame([("a", 0, 100), ("a", 1, 100), ("b", 2, 40), ("a", 2, 60)], "source string, part int, held long")
+    share = spark.createDataFrame([("a", 0.8), ("b", 0.2)], "source string, share double")
+    got = {(r.source, r.part): round(r.deficit, 6) for r in P.carried(held, share).collect()}
+    assert got == {("a", 0): 0.0, ("a", 1): -20.0, ("a", 2): -40.0, ("b", 2): 40.0}
+
+
+def test_fill_near_the_bound(spark):
+    r = random.Random(3)
+    rows = [(i, r.choice("abc"), r.randint(1, 90)) for i in range(4000)]
+    out = P.pack(frame(spark, rows), [100, 1000], window=64)
+    total = sum(t for _, _, t in rows)
+    for f in P.fill(out).collect():
+        assert f.tokens == total and f.containers >= -(-total // f.capacity_tokens)
+        assert f.containers <= 1.02 * total / f.capacity_tokens + 1

@@ -30,8 +30,8 @@ FLOOR = 1e-6  # probability of a character never seen in right text
 NEW = 1e-9  # the same where it would come from undoing a chain
 LOST_P = 1e-3  # probability of a place that can't be restored
 PULL = 2.0  # weight of the prior of chains, in runs
-BUCKET = 20_000
-LONGEST = 256  # a longer run is judged by its parts of this length
+STEP = 4  # likelihoods are told apart by quarters of a nat
+SALTS = 8
 _RUN = re.compile(r"[^\x00-\x7f]+")
 
 #: Readers: encodings in which UTF-8 was read. Places that an encoding leaves empty are read as
@@ -89,6 +89,7 @@ def _chains() -> list[tuple[str, object]]:
     once = [(f"utf-8>{r}", lambda s, r=r: _unread(s, r, False)) for r in READERS]
     twice = [(f"utf-8>{r}>{r}", lambda s, r=r: (lambda a: a and _RUN.fullmatch(a) and _unread(a, r, False))(_unread(s, r, False)) or None) for r in READERS]
     hurt = [(f"utf-8>{r} damaged", lambda s, r=r: _unread(s, r, True)) for r in ("cp1252", "mac_roman", "cp437", "cp1251")]
+    hurt.append(("utf-8>latin-1 damaged", lambda s: _unread(s, "latin-1", True) if any("\x80" <= c <= "\x9f" for c in s) else None))
     bytes_ = [("cp1252>cp1251", lambda s: _swap(s, "cp1252", "cp1251")), ("cp1252>latin-1", lambda s: _swap(s, "cp1252", "latin-1") if any("\x80" <= c <= "\x9f" for c in s) else None)]
     return once + twice + hurt + bytes_ + [("lost", lambda s: s if LOST in s else None)]
 
@@ -116,10 +117,6 @@ def runs_of(text: str) -> Counter:
     """The non-ASCII runs of a text. A capital on its own in a word of capitals is right text and
     counted with a letter before it, which no chain explains."""
     runs = Counter(_RUN.findall(text))
-    for r in [r for r in runs if len(r) > LONGEST]:
-        n = runs.pop(r)
-        for i in range(0, len(r), LONGEST):
-            runs[r[i : i + LONGEST]] += n
     for r in [r for r in runs if len(r) == 1 and r.isupper() and readings(r)]:
         k = sum(m[0] == r and not _RUN.match(text[m.end() : m.end() + 1]) and not _RUN.match(text[max(0, m.start() - 1) : m.start()]) for m in _CAPITALS.finditer(text))
         if k:
@@ -182,55 +179,88 @@ class _Evidence:
             got = self.seen[run] = (like, before, like[0] - like[1:].max(initial=-np.inf) > CERTAIN)
         return got
 
-    def posterior(self, pdf: pd.DataFrame):
-        """Places of the runs that aren't certain, their posteriors and readings.
-
-        EM for the shares of the chains of every source and field, of all in the frame at once,
-        each with a prior of PULL runs."""
-        got = [self.of(r) for r in pdf["run"]]
-        n = pdf["n"].to_numpy(float)
-        group = pdf.groupby(["source", "field"], dropna=False, sort=False).ngroup().to_numpy()
-        groups = int(group.max()) + 1
-        at = np.flatnonzero([not g[2] for g in got])
-        if not len(at):
-            return at, np.zeros((0, len(CHAINS) + 1)), []
-        like = np.stack([got[i][0] for i in at])
-        used = np.flatnonzero(np.isfinite(like).any(axis=0))
-        like, m, g = like[:, used], n[at], group[at]
-        sure = np.bincount(group, n, groups) - np.bincount(g, m, groups)
-        prior = np.full(len(CHAINS) + 1, 0.1 / len(CHAINS))
-        prior[0] = 0.9
-        prior = prior[used]
-        pi = np.tile(prior, (groups, 1))
-        total = np.bincount(group, n, groups)[:, None] + PULL
-        for _ in range(INNER):
-            w = like + np.log(pi)[g]
-            w = np.exp(w - w.max(axis=1, keepdims=True))
-            w /= w.sum(axis=1, keepdims=True)
-            new = np.stack([np.bincount(g, m * w[:, k], groups) for k in range(len(used))], 1) + PULL * prior
-            if used[0] == 0:
-                new[:, 0] += sure
-            new = np.maximum(new / total, 1e-12)
-            done = np.abs(new - pi).max() < 1e-4
-            pi = new
-            if done:
-                break
-        full = np.zeros((len(at), len(CHAINS) + 1))
-        full[:, used] = w
-        return at, full, [got[i][1] for i in at]
+    def signature(self, run: str) -> str:
+        """How far each explanation is behind the best, in steps; "" where right text is certain."""
+        like, _, certain = self.of(run)
+        if certain:
+            return ""
+        d = np.rint((like - like.max()) * STEP)
+        return " ".join(f"{k}:{int(d[k])}" for k in np.flatnonzero(d > -80 * STEP))
+
+
+_PRIOR = np.full(len(CHAINS) + 1, 0.1 / len(CHAINS))
+_PRIOR[0] = 0.9
+
+
+def _signed(model: dict[str, float]):
+    """source, field, run, n to source, field, sig, n, added up within a batch."""
+    evidence = _Evidence(model)
+
+    def run(batches):
+        for pdf in batches:
+            if len(pdf):
+                sig = [evidence.signature(r) for r in pdf["run"]]
+                yield pdf.assign(sig=sig).groupby(["source", "field", "sig"], dropna=False, as_index=False, sort=False)["n"].sum().astype({"source": "Int64"})
+
+    return run
+
+
+def _shares(pdf: pd.DataFrame) -> pd.DataFrame:
+    """EM for the shares of the chains of every source and field in the frame, all at once, each
+    with a prior of PULL runs. Rows: source, field, sig, n."""
+    out = ["source", "field", "pi"]
+    if pdf.empty:
+        return pd.DataFrame({c: [] for c in out})
+    group, keys = pdf.groupby(["source", "field"], dropna=False, sort=False).ngroup().to_numpy(), pdf[["source", "field"]].drop_duplicates()
+    groups = len(keys)
+    n = pdf["n"].to_numpy(float)
+    at = np.flatnonzero(pdf["sig"].to_numpy() != "")
+    like = np.full((len(at), len(CHAINS) + 1), -np.inf)
+    for row, i in enumerate(at):
+        for x in pdf["sig"].iat[i].split(" "):
+            k, v = x.split(":")
+            like[row, int(k)] = int(v) / STEP
+    m, g = n[at], group[at]
+    sure = np.bincount(group, n, groups) - np.bincount(g, m, groups)
+    pi = np.tile(_PRIOR, (groups, 1))
+    total = np.bincount(group, n, groups)[:, None] + PULL
+    for _ in range(INNER):
+        w = np.exp(like) * pi[g]
+        w /= w.sum(axis=1, keepdims=True)
+        new = np.stack([np.bincount(g, m * w[:, k], groups) for k in range(len(CHAINS) + 1)], 1) + PULL * _PRIOR
+        new[:, 0] += sure
+        new = np.maximum(new / total, 1e-12)
+        done = np.abs(new - pi).max() < 1e-4
+        pi = new
+        if done:
+            break
+    return keys.assign(pi=list(pi)).astype({"source": "Int64"})[out]
+
+
+def _weights(evidence: _Evidence, pdf: pd.DataFrame):
+    """Places of the runs that aren't certain, their posteriors and readings."""
+    got = [evidence.of(r) for r in pdf["run"]]
+    at = np.flatnonzero([not g[2] for g in got])
+    if not len(at):
+        return at, np.zeros((0, len(CHAINS) + 1)), []
+    like = np.stack([got[i][0] for i in at])
+    w = np.exp(like - like.max(axis=1, keepdims=True)) * np.stack(pdf["pi"].to_numpy()[at])
+    return at, w / w.sum(axis=1, keepdims=True), [got[i][1] for i in at]
 
 
 def _judge(model: dict[str, float]):
     evidence = _Evidence(model)
+    kinds = {"source": "Int64", "field": object, "run": object, "chain": object, "before": object, "p": "float64"}
 
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        runs, source, field = list(pdf["run"]), pdf["source"].tolist(), list(pdf["field"])
-        out = []
-        for i, w, before in zip(*evidence.posterior(pdf)):
-            c = int(w[1:].argmax())
-            if w[0] < 0.5 and c in before:
-                out.append((None if pd.isna(source[i]) else int(source[i]), field[i], runs[i], NAMES[c], before[c], 1 - w[0]))
-        return pd.DataFrame(out, columns=["source", "field", "run", "chain", "before", "p"]).astype({"source": "Int64", "field": object, "run": object, "chain": object, "before": object, "p": "float64"})
+    def run(batches):
+        for pdf in batches:
+            source, out = pdf["source"].tolist(), []
+            for i, w, before in zip(*_weights(evidence, pdf)):
+                c = int(w[1:].argmax())
+                if w[0] < 0.5 and c in before:
+                    out.append((None if pd.isna(source[i]) else int(source[i]), pdf["field"].iat[i], pdf["run"].iat[i], NAMES[c], before[c], 1 - w[0]))
+            if out:
+                yield pd.DataFrame(out, columns=list(kinds)).astype(kinds)
 
     return run
 
@@ -238,16 +268,18 @@ def _judge(model: dict[str, float]):
 def _expect(model: dict[str, float]):
     evidence = _Evidence(model)
 
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        runs, n = list(pdf["run"]), pdf["n"].to_numpy(float)
-        mass: Counter = Counter()
-        for i, w, before in zip(*evidence.posterior(pdf)):
-            for c, s in [(-1, runs[i]), *before.items()]:
-                if w[c + 1] > 0.9:
-                    for ch in s:
-                        if ch >= "\x80" and ch != LOST:
-                            mass[ch] += n[i] * w[c + 1]
-        return pd.DataFrame({"c": pd.Series(list(mass), dtype=object), "m": pd.Series(list(mass.values()), dtype=float)})
+    def run(batches):
+        for pdf in batches:
+            n, runs = pdf["n"].to_numpy(float), list(pdf["run"])
+            mass: Counter = Counter()
+            for i, w, before in zip(*_weights(evidence, pdf)):
+                for c, s in [(-1, runs[i]), *before.items()]:
+                    if w[c + 1] > 0.9:
+                        for ch in s:
+                            if ch >= "\x80" and ch != LOST:
+                                mass[ch] += n[i] * w[c + 1]
+            if mass:
+                yield pd.DataFrame({"c": pd.Series(list(mass), dtype=object), "m": pd.Series(list(mass.values()), dtype=float)})
 
     return run
 
@@ -256,26 +288,30 @@ def decide(scanned: DataFrame, rounds: int = ROUNDS) -> DataFrame:
     """scanned: rows of ``scan`` that count. Returns source, field, run, chain, before, p: for all
     runs of a source and field that are more probably wrong than right.
 
-    Sources are grouped after their runs were counted, so a group has one row for each different
-    run. The character model, one number for each character, is kept on the driver.
+    Likelihoods are worked out run by run, wherever a source's rows lie, and added up for each
+    source and field by their signature before they meet, so a source of any size brings the EM no
+    more rows than there are signatures (STEP tells likelihoods apart). Its shares are then carried
+    back to its runs, salted. The character model, one number for each character, is kept on the
+    driver.
     """
     flat = F.explode(F.arrays_zip("runs", "counts")).alias("x")
     pairs = scanned.where("field <> 'model'").select("source", "field", flat).groupBy("source", "field", F.col("x.runs").alias("run")).agg(F.sum("x.counts").alias("n"))
-    pairs = materialise(pairs)
-    # Sources are judged many at a time; a bucket has BUCKET different runs, about.
-    buckets = max(16, pairs.count() // BUCKET)
-    pairs = pairs.withColumn("bucket", F.pmod(F.xxhash64("source", "field"), F.lit(buckets)))
+    pairs = materialise(pairs.withColumn("salt", F.pmod(F.xxhash64("run"), F.lit(SALTS)).cast("int")))
+    # One row for each character there is.
     base = {r["c"]: float(r["n"]) for r in scanned.where("field = 'model'").select(flat).groupBy(F.col("x.runs").alias("c")).agg(F.sum("x.counts").alias("n")).toLocalIterator()}
     counts = base
     kind = "source long, field string, run string, chain string, before string, p double"
     for k in range(rounds):
         total = sum(counts.values()) or 1.0
         model = {c: v / total for c, v in counts.items()}
-        last = k == rounds - 1
-
-        if last:
-            return pairs.groupBy("bucket").applyInPandas(_judge(model), kind)
-        got = pairs.groupBy("bucket").applyInPandas(_expect(model), "c string, m double").groupBy("c").agg(F.sum("m").alias("m"))
+        signed = pairs.select("source", "field", "run", "n").mapInPandas(_signed(model), "source long, field string, sig string, n long").groupBy("source", "field", "sig").agg(F.sum("n").alias("n"))
+        # Sources are judged many at a time; all rows of a bucket are a few thousand signatures each.
+        shares = signed.groupBy(F.pmod(F.xxhash64("source", "field"), F.lit(max(16, pairs.rdd.getNumPartitions())))).applyInPandas(_shares, "source long, field string, pi array<double>")
+        spread = shares.select(F.col("source").alias("s"), F.col("field").alias("f"), "pi", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("t"))
+        known = pairs.join(spread, F.expr("source <=> s and field = f and salt = t")).select("source", "field", "run", "n", "pi")
+        if k == rounds - 1:
+            return known.mapInPandas(_judge(model), kind)
+        got = known.mapInPandas(_expect(model), "c string, m double").groupBy("c").agg(F.sum("m").alias("m"))
         counts = dict(base)
         for r in got.toLocalIterator():
             counts[r["c"]] = counts.get(r["c"], 0.0) + r["m"]
@@ -286,8 +322,10 @@ def wrong_runs(scanned: DataFrame) -> DataFrame:
     """src_table, row_id, field, run, chain, before, p of all records with a wrong run. A record
     whose text is NULL, empty or ASCII has none; repeated rows give repeated results."""
     found = decide(scanned).select(F.col("source").alias("s"), F.col("field").alias("f"), F.col("run").alias("r"), "chain", "before", "p")
-    each = scanned.where("field <> 'model'").select("src_table", "row_id", "source", "field", F.explode("runs").alias("run"))
-    return each.join(found, F.expr("source <=> s and field = f and run = r")).select("src_table", "row_id", "field", "run", "chain", "before", "p")
+    # A run may stand in a large part of a source's records: its rows are spread.
+    found = materialise(found).withColumn("t", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    each = scanned.where("field <> 'model'").select("src_table", "row_id", "source", "field", F.explode("runs").alias("run"), F.pmod(F.xxhash64("row_id"), F.lit(SALTS)).cast("int").alias("salt"))
+    return each.join(found, F.expr("source <=> s and field = f and run = r and salt = t")).select("src_table", "row_id", "field", "run", "chain", "before", "p")
 
 
 def repair(texts: DataFrame, wrong: DataFrame) -> DataFrame:
@@ -302,7 +340,7 @@ def repair(texts: DataFrame, wrong: DataFrame) -> DataFrame:
             done = []
             for t, f in zip(pdf["text"], pdf["fix"]):
                 m = dict(f)
-                done.append(None if t is None else _RUN.sub(lambda x: "".join(m.get(x[0][i : i + LONGEST], x[0][i : i + LONGEST]) for i in range(0, len(x[0]), LONGEST)), t))
+                done.append(None if t is None else _RUN.sub(lambda x: m.get(x[0], x[0]), t))
             yield pdf.drop(columns="fix").assign(repaired=done)
 
     return texts.join(fix, ["src_table", "row_id", "field"]).select("src_table", "row_id", "field", "text", "fix").mapInPandas(run, "src_table string, row_id long, field string, text string, repaired string")

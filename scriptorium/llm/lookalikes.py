@@ -1,22 +1,26 @@
 """One consistent form for text that looks the same but differs in its characters.
 
 Values with any suspicious character (a look-alike, an invisible sign, a combining mark, a second
-script) are matched against the vocabulary of plain values: tries over the plain values are walked
-by a weighted edit automaton in which look-alikes, compositions and ignorable signs cost nothing
-and anything else more than allowed. A value that reaches a plain one takes its spelling; any other
-is normalised by the tables alone. Both are sharded by the skeleton of the value, which all values
-at cost zero share.
+script) are taken apart into words, and these are matched against the vocabulary of all plain words,
+in every script: tries over it are walked by a weighted edit automaton in which look-alikes,
+compositions and ignorable signs cost nothing, letters that are merely alike something, and anything
+else more than allowed. Of the spellings reached at least cost the most frequent is taken; so the
+vocabulary decides which script a mixed word belongs to and which of several readings a letter has.
+A word that reaches none is normalised by the tables alone. Words meet in shards by a skeleton that
+no step of the automaton changes.
 """
 
 from __future__ import annotations
 
 import re
 import unicodedata
+from collections import Counter
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..session import materialise
 from ..tables import current
 
 # Signs that show nothing.
@@ -38,8 +42,15 @@ TO_GREEK = {v: k for k, v in TO_LATIN.items() if "Ͱ" <= k <= "Ͽ"}
 PLAIN = r"^[\x20-\x7e\u00a1-\u00ac\u00ae-\u024f\u1e00-\u1eff\u2013\u2014\u2018\u2019\u201c\u201d]*$"
 #: Shows anything at all.
 _SHOWN = r"(?U)[^\s" + "".join(f"\\x{{{ord(c):x}}}" for c in IGNORABLE) + "]"
-SHARDS = 64
+SHARD_ROWS = 50_000  # words tried in one task, about
 SALTS = 8
+WEAK = 0.5  # cost of a letter that is merely alike; look-alikes cost nothing
+LIMIT = 1.0  # what a spelling may cost
+# Cyrillic and Greek letters that are merely like Latin ones.
+ALIKE = (
+    [("к", "k"), ("κ", "k"), ("м", "m"), ("т", "t"), ("τ", "t"), ("н", "h"), ("г", "r"), ("п", "n"), ("η", "n"), ("и", "u"), ("μ", "u"), ("ш", "w"), ("ω", "w"), ("χ", "x"), ("γ", "y"), ("ь", "b"), ("в", "b"), ("β", "b")]
+    + [("з", "3"), ("б", "6"), ("ε", "e"), ("є", "e"), ("σ", "o"), ("ν", "n"), ("υ", "v"), ("ι", "l"), ("ӏ", "I"), ("П", "N"), ("Г", "T"), ("Ш", "W"), ("Ω", "O"), ("Σ", "E"), ("И", "N"), ("Я", "R")]
+)
 
 _WORD = re.compile(r"[^ \-]+")
 _FLAT = str.maketrans({**{c: " " for c in SPACES}, **{c: "-" for c in HYPHENS}, **{chr(c): chr(c - 0xFEE0) for c in range(0xFF01, 0xFF5F) if chr(c) not in HYPHENS}})
@@ -75,21 +86,81 @@ def choices(word: str) -> dict[str, str]:
     return {c: TO_LATIN[c] for c in alien & TO_LATIN.keys()}
 
 
+def mixed(word: str) -> bool:
+    """Letters of Cyrillic or Greek beside those of another script."""
+    kinds = {_script(c) for c in word} - {""}
+    return bool({"C", "G"} & kinds) and len(kinds) > 1
+
+
+def _steps() -> dict[str, list[tuple[str, float]]]:
+    """What the automaton may read for a letter of a mixed word, either way, and its cost."""
+    out: dict[str, dict[str, float]] = {}
+    for cost, pairs in ((WEAK, ALIKE), (0.0, TO_LATIN.items())):
+        for a, b in pairs:
+            out.setdefault(a, {})[b] = cost
+            out.setdefault(b, {})[a] = cost
+    # Cyrillic and Greek letters that look like the same Latin one look like each other.
+    for a, b in TO_LATIN.items():
+        for c, d in TO_LATIN.items():
+            if b == d and a != c:
+                out[a][c] = 0.0
+    return {k: list(v.items()) for k, v in out.items()}
+
+
+STEPS = _steps()
+
+
+def _classes() -> dict[str, str]:
+    """Every letter's class: letters that lead to each other by any steps share one."""
+    root: dict[str, str] = {}
+
+    def top(c: str) -> str:
+        while root.get(c, c) != c:
+            c = root[c]
+        return c
+
+    for a, steps in STEPS.items():
+        for b, _ in steps:
+            lo, hi = sorted((top(a), top(b)))
+            root[hi] = lo
+    return {c: top(c) for c in STEPS}
+
+
+_CLASS = _classes()
+#: The same for the composed letters of plain values, so that the JVM can fold them: base, then class.
+_COMPOSED = {chr(o): _CLASS.get(d[0], d[0]) for lo, hi in ((0xC0, 0x250), (0x1E00, 0x1F00)) for o in range(lo, hi) if len(d := unicodedata.normalize("NFD", chr(o))) > 1}
+_FOLD = {**_COMPOSED, **{c: k for c, k in _CLASS.items() if c != k}}
+
+
+def skeleton(word: str) -> str:
+    """Letters without marks, each by its class; no step of the automaton changes it."""
+    return "".join(_CLASS.get(c, c) for c in unicodedata.normalize("NFD", bare(word)) if not unicodedata.combining(c))
+
+
+def skeleton_of(word):
+    """The same of a column of plain words."""
+    return F.translate(word, "".join(_FOLD), "".join(_FOLD.values()))
+
+
 def _keep_joiner(s: str, i: int) -> bool:
     """Joiners belong to Indic words: after a virama or between Indic letters."""
     return s[i] in "\u200c\u200d" and 0 < i and 0x900 <= ord(s[i - 1]) <= 0xDFF and i + 1 < len(s) and 0x900 <= ord(s[i + 1]) <= 0xDFF
 
 
+def bare(value: str) -> str:
+    """The value with plain spaces, hyphens and widths and without ignorable signs."""
+    s = value.translate(_FLAT)
+    return "".join(c for i, c in enumerate(s) if c not in IGNORABLE or _keep_joiner(s, i))
+
+
 def normal(value: str) -> str:
     """The consistent form by the tables alone (not trimmed)."""
-    s = value.translate(_FLAT)
-    s = "".join(c for i, c in enumerate(s) if c not in IGNORABLE or _keep_joiner(s, i))
-    s = _WORD.sub(lambda m: "".join(map(lambda c, t=choices(m[0]): t.get(c, c), m[0])), s)
+    s = _WORD.sub(lambda m: "".join(map(lambda c, t=choices(m[0]): t.get(c, c), m[0])), bare(value))
     return unicodedata.normalize("NFC", s)
 
 
 class Trie:
-    """Trie of plain values with their counts."""
+    """Trie of plain words with their counts."""
 
     def __init__(self) -> None:
         self.root: dict = {}
@@ -100,86 +171,109 @@ class Trie:
             at = at.setdefault(c, {})
         at[""] = (word, n)
 
-    def match(self, value: str) -> str | None:
-        """The most frequent plain value at cost zero, by one pass of the automaton.
-
-        A state is a node of the trie and the decomposed marks read since; look-alikes, spaces and
-        hyphens step along the plain sign, ignorable signs stay, and a base with its marks steps
-        along the composed letter."""
-        flat = value.translate(_FLAT)
-        kept = [(c, i) for i, c in enumerate(flat) if c not in IGNORABLE or _keep_joiner(flat, i)]
-        bare = "".join(c for c, _ in kept)
-        swap: list[str] = []
-        pos = 0
-        for m in _WORD.finditer(bare):
-            swap.extend(bare[pos : m.start()])
-            t = choices(m[0])
-            swap.extend(t.get(c, c) for c in m[0])
-            pos = m.end()
-        swap.extend(bare[pos:])
-        # Clusters of a base and its marks; each may be met composed or as it stands.
-        states: list[dict] = [self.root]
+    def match(self, word: str) -> str | None:
+        """The spelling reached at least cost, of several the most frequent; None: none within LIMIT.
+
+        A state is a node of the trie and what was spent on the way to it. Ignorable signs are
+        passed over, a base with its marks steps along the composed letter or along both, and in a
+        word of mixed scripts a letter steps along those it looks like as well."""
+        s = unicodedata.normalize("NFD", bare(word))
+        steps = STEPS if mixed(s) else {}
+        states: dict[int, tuple[dict, float]] = {id(self.root): (self.root, 0.0)}
         i = 0
-        while i < len(swap) and states:
+        while i < len(s) and states:
             j = i + 1
-            while j < len(swap) and unicodedata.combining(swap[j]):
+            while j < len(s) and unicodedata.combining(s[j]):
                 j += 1
-            raw = "".join(swap[i:j])
-            nxt = []
-            for form in {raw, unicodedata.normalize("NFC", raw)}:
-                for at in states:
-                    for c in form:
-                        at = at.get(c) if at else None
-                    if at:
-                        nxt.append(at)
+            nxt: dict[int, tuple[dict, float]] = {}
+            for c, cost in ((s[i], 0.0), *steps.get(s[i], ())):
+                raw = c + s[i + 1 : j]
+                for form in {raw, unicodedata.normalize("NFC", raw)}:
+                    for at, spent in states.values():
+                        for x in form:
+                            at = at.get(x)
+                            if at is None:
+                                break
+                        if at is not None and spent + cost <= min(LIMIT, nxt.get(id(at), (at, LIMIT))[1]):
+                            nxt[id(at)] = (at, spent + cost)
             states, i = nxt, j
-        ends = [s[""] for s in states if "" in s]
-        return max(ends, key=lambda e: (e[1], e[0]))[0] if ends else None
+        ends = [(-spent, *reversed(at[""])) for at, spent in states.values() if "" in at]
+        return max(ends)[2] if ends else None
 
 
-def _shard(keys: pd.Series, shards: int) -> pd.Series:
-    return (pd.util.hash_array(keys.to_numpy(dtype=object), categorize=False) % shards).astype("int32")
+def words_of(values: DataFrame) -> DataFrame:
+    """values: value, n (different values with suspicious characters). Returns word, n, odd, skel of
+    their words as they stand; odd: the word isn't in a consistent form."""
 
+    def run(batches):
+        for pdf in batches:
+            seen: Counter = Counter()
+            for v, n in zip(pdf["value"], pdf["n"]):
+                for w in set(_WORD.findall(v.translate(_FLAT))):
+                    seen[w] += n
+            if seen:
+                odd = [mixed(w) or w != normal(w) for w in seen]
+                yield pd.DataFrame({"word": list(seen), "n": list(seen.values()), "odd": odd, "skel": [skeleton(w) for w in seen]})
 
-def canonical(values: DataFrame, *, shards: int = SHARDS) -> DataFrame:
-    """values: value string, n bigint (distinct values with counts). Returns value, canonical of
-    the values that have suspicious characters; all others are their own canonical form.
+    return values.select("value", "n").mapInPandas(run, "word string, n long, odd boolean, skel string").groupBy("word", "odd", "skel").agg(F.sum("n").alias("n"))
 
-    NULL and blank values are left out. Canonical forms have no white space at their ends.
-    """
-    plain = F.col("value").rlike(PLAIN)
-    v = values.where(F.col("value").rlike(_SHOWN))
 
-    def keyed(odd: bool):
-        def run(batches):
-            for pdf in batches:
-                if not len(pdf):
-                    continue
-                key = pdf["value"].map(normal) if odd else pdf["value"]
-                yield pdf.assign(odd=odd, shard=_shard(key, shards))
+def spellings(odd: DataFrame, vocabulary: DataFrame, shards: int) -> DataFrame:
+    """odd: word, skel. vocabulary: word, n, skel. Returns word, spelling of all odd words that reach
+    one of the vocabulary. A shard's tries are built one skeleton at a time."""
+    wanted = odd.select("skel").distinct()
+    met = vocabulary.join(wanted, "skel", "left_semi").groupBy("word", "skel").agg(F.sum("n").alias("n"))
+    both = odd.select("word", "skel", F.lit(0).cast("long").alias("n"), F.lit(True).alias("odd")).unionByName(met.withColumn("odd", F.lit(False)))
+
+    def solve(pdf: pd.DataFrame) -> pd.DataFrame:
+        out = []
+        for _, g in pdf.groupby("skel", sort=False):
+            flags = g["odd"].to_numpy()
+            if not flags.any() or flags.all():
+                continue
+            trie = Trie()
+            for w, n in zip(g["word"][~flags], g["n"][~flags]):
+                trie.add(w, int(n))
+            out += [(w, got) for w in g["word"][flags] if (got := trie.match(w)) is not None]
+        return pd.DataFrame(out, columns=["word", "spelling"]).astype(object)
 
-        return run
+    return both.withColumn("shard", F.pmod(F.xxhash64("skel"), F.lit(shards))).groupBy("shard").applyInPandas(solve, "word string, spelling string")
 
-    kind = "value string, n long, odd boolean, shard int"
-    both = v.where(plain).mapInPandas(keyed(False), kind).unionByName(v.where(~plain).mapInPandas(keyed(True), kind))
 
-    def solve(pdf: pd.DataFrame) -> pd.DataFrame:
-        odd = pdf["value"][pdf["odd"]]
-        if odd.empty:
-            return pd.DataFrame({"value": odd.astype(object), "canonical": odd.astype(object)})
-        keys = odd.map(normal)
-        tails = set(keys)
-        trie = Trie()
-        own = pdf[~pdf["odd"]]
-        for w, n in zip(own["value"], own["n"]):
-            trie.add(w, n)
-        got = [trie.match(x) for x in odd]
-        return pd.DataFrame({"value": odd, "canonical": [(g if g is not None else k) for g, k in zip(got, keys)]})
-
-    return both.groupBy("shard").applyInPandas(solve, "value string, canonical string")
-
-
-def apply(rows: DataFrame, *, shards: int = SHARDS) -> DataFrame:
+def canonical(values: DataFrame, *, shards: int | None = None) -> DataFrame:
+    """values: value string, n bigint (distinct values with counts). Returns value, canonical of
+    the values that have suspicious characters; all others are their own canonical form.
+
+    NULL and blank values are left out. Canonical forms have the white space at their ends. Values
+    are put together again from their words, each of which has one spelling.
+    """
+    v = materialise(values.where(F.col("value").rlike(_SHOWN)).withColumn("plain", F.col("value").rlike(PLAIN)))
+    odd = v.where("not plain").select("value", "n")
+    own = materialise(words_of(odd))
+    plain = v.where("plain").select(F.explode(F.split("value", r"[ \-]+")).alias("word"), "n").where("word <> ''").groupBy("word").agg(F.sum("n").alias("n"))
+    vocabulary = plain.select("word", "n", skeleton_of(F.col("word")).alias("skel")).unionByName(own.where("not odd").select("word", "n", "skel"))
+    todo = own.where("odd").select("word", "skel")
+    if shards is None:
+        shards = max(16, todo.count() // SHARD_ROWS)
+    found = spellings(todo, vocabulary, shards)
+    flat = F.translate("value", "".join(map(chr, _FLAT)), "".join(_FLAT.values()))
+    each = odd.select("value", F.explode(F.array_distinct(F.split(flat, r"[ \-]+"))).alias("w"))
+    # One row for each word of a value: as many as the value has.
+    maps = each.join(found, F.col("w") == F.col("word")).groupBy("value").agg(F.map_from_entries(F.collect_list(F.struct("w", "spelling"))).alias("put"))
+
+    def run(batches):
+        for pdf in batches:
+            if len(pdf):
+                new = []
+                for x, put in zip(pdf["value"], pdf["put"]):
+                    known = dict(put) if put is not None else {}
+                    new.append(_WORD.sub(lambda m: known.get(m[0]) or normal(m[0]), x.translate(_FLAT)))
+                yield pd.DataFrame({"value": pdf["value"], "canonical": new})
+
+    return odd.join(maps, "value", "left").select("value", "put").mapInPandas(run, "value string, canonical string")
+
+
+def apply(rows: DataFrame, *, shards: int | None = None) -> DataFrame:
     """rows: src_table, row_id, value. Adds canonical (trimmed) and changed: whether the value is
     altered other than by trimming. NULL and blank values stay as they are. Other
     columns have no effect."""

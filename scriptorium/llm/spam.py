@@ -1,8 +1,10 @@
 """Pages of repeated keywords, links, tags or product entries instead of sentences.
 
-Content and link features are taken from whole texts. Labelling rules that are sure of their case
-give weak labels; bagged decision trees trained on a bounded sample of them judge every page, and
-the page's odds are smoothed by the spam rate of its host (here: its source).
+Content and link features are taken from whole texts. Several independent labelling rules vote, each
+on one measure of the page's words or signs; pages on which they don't contradict each other are
+weakly labelled. Bagged decision trees are trained on a bounded sample of those and on composites of
+two of them in known proportions, which show where half of a page is. They judge every page, and the
+page's odds are smoothed by the spam rate of its host (here: its source).
 """
 
 from __future__ import annotations
@@ -13,6 +15,7 @@ from collections import Counter
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..session import materialise
@@ -22,7 +25,8 @@ from .trees import Bagged
 SAMPLE = 4_000  # labelled pages of each class that the trees are trained on, at most
 SMOOTH = 0.5  # weight of the host's log-odds
 PRIOR = 20.0  # pages that a host's rate is shrunk by
-SURE = (0.35, 0.62)  # shares of the text in spam lines up to and from which a rule is sure
+PAIRS = 1_500  # composites of a spam page and another that the trees are trained on, at most
+LONGEST_PAIR = 8_000  # characters of a composite
 
 _URL = re.compile(r"<a\s[^>]*>|</a>|\]\(|https?://[^\s)>\"]+|www\.[^\s)>\"]+")
 _END = re.compile(r"[.?!।…][\"'”’»)\]]*\s*$")
@@ -34,7 +38,7 @@ _CUT = re.compile(r"(?<=[.?!।])[\"”’»)]*\s+")
 _SEP = re.compile(r"\s[›•|·»►▸/→]\s")
 
 KINDS = ("link", "tag", "chain", "labelled", "list", "stuffed", "doorway", "sentence", "apparatus", "plain")
-NAMES = (*KINDS, "length", "lines", "distinct", "phrase", "commas", "urls", "hashes", "ends", "caps", "digits", "same_lines", "spam")
+NAMES = (*KINDS, "length", "lines", "distinct", "phrase", "commas", "urls", "hashes", "ends", "caps", "digits", "same_lines", "offer", "joints", "glossed")
 
 
 # Words of offers.
@@ -144,27 +148,98 @@ def features(text: str) -> list[float]:
     out["caps"] = sum(1 for w in text.split() if w[0].isupper()) / total
     out["digits"] = sum(1 for w in words if w[:1].isdigit()) / total
     out["same_lines"] = 1 - len(set(lines)) / len(lines)
-    out["spam"] = sum(out[k] for k in ("link", "tag", "chain", "labelled", "list", "stuffed", "doorway"))
+    out["offer"] = sum(counts[w] for w in OFFER) / total
+    out["joints"] = sum(text.count(c) for c in "›•·|→▸") / total
+    out["glossed"] = sum(1 for x in lines if _GLOSS.match(x)) / len(lines)
     return list(out.values())
 
 
+#: Labelling rules: each looks at its own measure and is silent on most pages.
+SPAM_VOTES = {
+    "links": lambda f: f["urls"] >= 0.12,
+    "hashtags": lambda f: f["hashes"] >= 0.3,
+    "enumeration": lambda f: f["commas"] >= 0.3 and f["ends"] < 0.03,
+    "offers": lambda f: f["offer"] >= 0.12,
+    "joints": lambda f: f["joints"] >= 0.08,
+    "repetition": lambda f: f["phrase"] >= 0.05 and f["distinct"] < 0.3 and f["same_lines"] < 0.2 and f["ends"] < 0.02,
+}
+OTHER_VOTES = {
+    "sentences": lambda f: 0.02 <= f["ends"] <= 0.25 and f["commas"] < 0.2 and f["distinct"] >= 0.05 and f["offer"] < 0.05,
+    "numbered": lambda f: f["digits"] >= 0.12 and f["urls"] < 0.1,
+    "refrain": lambda f: f["same_lines"] >= 0.15 and f["commas"] < 0.15,
+    "glossed": lambda f: f["glossed"] >= 0.6,
+    "blank": lambda f: f["lines"] == 0,
+}
+
+
+def vote(f: list[float]) -> int | None:
+    """1 or 0 where rules speak for one side alone."""
+    named = dict(zip(NAMES, f))
+    yes, no = any(v(named) for v in SPAM_VOTES.values()), any(v(named) for v in OTHER_VOTES.values())
+    return int(yes) if yes != no else None
+
+
+def composite(spam: str, other: str, share: float, first: bool) -> tuple[str, float]:
+    """Lines of a spam page and of another up to about the share of spam, and what the share is."""
+    size = min(len(spam) / share, len(other) / (1 - share), LONGEST_PAIR)
+
+    def lines(text: str, room: float) -> list[str]:
+        out: list[str] = []
+        for x in text.split("\n"):
+            if room <= 0:
+                break
+            if x and not x.isspace():
+                out.append(x[: int(room) + 1] if len(x) > 2 * room else x)
+                room -= len(out[-1])
+        return out
+
+    a, b = lines(spam, size * share), lines(other, size * (1 - share))
+    n, m = sum(map(len, a)), sum(map(len, b))
+    return "\n".join(a + b if first else b + a), n / max(1, n + m)
+
+
 def page_features(docs: DataFrame) -> DataFrame:
-    """doc_id, source, f array<float>, weak int of all texts that aren't NULL; weak is 1 for sure
-    spam, 0 for sure other text, NULL where the rules aren't sure."""
+    """doc_id, source, f array<float>, weak int of all texts that aren't NULL; weak is 1 for spam, 0
+    for other text, NULL where the labelling rules are silent or contradict each other."""
 
     def run(batches):
         for pdf in batches:
             if not len(pdf):
                 continue
             f = [features(t) for t in pdf["text"]]
-            weak = [1 if x[-1] >= SURE[1] else (0 if x[-1] <= SURE[0] else None) for x in f]
-            yield pd.DataFrame({"doc_id": pdf["doc_id"], "source": pdf["source"], "f": f, "weak": pd.array(weak, dtype="Int32")})
+            yield pd.DataFrame({"doc_id": pdf["doc_id"], "source": pdf["source"], "f": f, "weak": pd.array([vote(x) for x in f], dtype="Int32")})
 
     return docs.where("text is not null").select("doc_id", "source", "text").mapInPandas(run, "doc_id long, source string, f array<float>, weak int")
 
 
-def train(pages: DataFrame, sample: int = SAMPLE) -> Bagged | None:
-    """Trees from at most ``sample`` pages of each weak label, chosen by a hash of the id."""
+def composites(pages: DataFrame, docs: DataFrame, most: int = PAIRS) -> DataFrame:
+    """f, y of composites: features and whether more than half is spam. At most ``most`` pairs of
+    labelled pages, chosen by a hash of the id."""
+
+    def some(label: int) -> DataFrame:
+        got = pages.where(F.col("weak") == label).select("doc_id", F.xxhash64("doc_id", F.lit(1)).alias("h")).orderBy("h", "doc_id").limit(most)
+        # At most ``most`` rows in this window and in the broadcast.
+        ranked = got.withColumn("k", F.row_number().over(W.orderBy("h", "doc_id")))
+        return docs.where("text is not null").select(F.col("doc_id").alias("d"), "text").join(F.broadcast(ranked.select("doc_id", "k")), F.col("d") == F.col("doc_id")).select("k", "text")
+
+    def run(batches):
+        for pdf in batches:
+            rows = []
+            for k, a, b in zip(pdf["k"], pdf["a"], pdf["b"]):
+                # Shares of spam from 0.1 to 0.9, either part first.
+                text, share = composite(a, b, 0.1 + 0.8 * ((k * 0.618034) % 1), k % 2 == 0)
+                if abs(share - 0.5) > 0.02:
+                    rows.append((features(text), float(share > 0.5)))
+            if rows:
+                yield pd.DataFrame(rows, columns=["f", "y"])
+
+    pairs = some(1).withColumnRenamed("text", "a").join(some(0).withColumnRenamed("text", "b"), "k")
+    return pairs.mapInPandas(run, "f array<float>, y double")
+
+
+def train(pages: DataFrame, docs: DataFrame, sample: int = SAMPLE, most: int = PAIRS) -> Bagged | None:
+    """Trees from at most ``sample`` pages of each weak label, chosen by a hash of the id, and
+    composites; NULL without pages of both labels."""
     x, y = [], []
     for label in (0, 1):
         got = pages.where(F.col("weak") == label).orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample).select("f").toPandas()
@@ -172,22 +247,24 @@ def train(pages: DataFrame, sample: int = SAMPLE) -> Bagged | None:
         y += [float(label)] * len(got)
     if len(set(y)) < 2:
         return None
-    return Bagged(np.stack(x).astype(float)[:, :-1], np.array(y))
+    both = composites(pages, docs, most).toPandas()
+    return Bagged(np.stack(x + list(both["f"])).astype(float), np.array(y + list(both["y"])))
 
 
-def judge(pages: DataFrame, *, sample: int = SAMPLE, smooth: float = SMOOTH, prior: float = PRIOR) -> DataFrame:
-    """doc_id, source, page (the trees' probability), host_rate, score (smoothed probability).
+def judge(pages: DataFrame, docs: DataFrame, *, sample: int = SAMPLE, smooth: float = SMOOTH, prior: float = PRIOR) -> DataFrame:
+    """pages: of page_features(docs). doc_id, source, page (the trees' probability), host_rate, score
+    (smoothed probability).
 
     A NULL source is a host. Blank pages score near 0. With weak labels of only one class there is
-    nothing to learn, and the rules' share of spam text is the page's probability.
+    nothing to learn, and a page's probability is its label, a half where it has none.
     """
-    model = train(pages, sample)
+    model = train(pages, docs, sample)
 
     def run(batches):
         for pdf in batches:
             if len(pdf):
                 x = np.stack(pdf["f"].to_numpy()).astype(float)
-                p = model.predict(x[:, :-1]) if model is not None else x[:, -1]
+                p = model.predict(x) if model is not None else pdf["weak"].fillna(0.5).to_numpy(float)
                 yield pd.DataFrame({"doc_id": pdf["doc_id"], "source": pdf["source"], "page": p})
 
     scored = pages.mapInPandas(run, "doc_id long, source string, page double").withColumn("host", F.coalesce("source", F.lit("")))
@@ -205,7 +282,7 @@ def judge(pages: DataFrame, *, sample: int = SAMPLE, smooth: float = SMOOTH, pri
 def _judged(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = load(spark, sf_dir, "documents")
     n = max(docs.rdd.getNumPartitions(), spark.sparkContext.defaultParallelism)
-    return judge(materialise(page_features(docs.repartition(n) if n > docs.rdd.getNumPartitions() else docs)))
+    return judge(materialise(page_features(docs.repartition(n) if n > docs.rdd.getNumPartitions() else docs)), docs)
 
 
 def p10_scores(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -74,9 +74,15 @@ class Bagged:
         b, edges = _bin(x)
         cols = max(2, int(np.ceil(x.shape[1] * 0.5)))
         self.trees = []
+        #: Predictions of each row by the trees that weren't trained on it; NaN: all were.
+        seen, votes = np.zeros(len(y)), np.zeros(len(y))
         for _ in range(trees):
             w = rng.multinomial(len(y), np.full(len(y), 1 / len(y))).astype(float)
             self.trees.append(Tree().fit(b, edges, -w * y, w, depth, rng, cols, lam=1e-3))
+            out = w == 0
+            seen[out] += 1
+            votes[out] += self.trees[-1].predict(x[out])
+        self.out_of_bag = np.where(seen > 0, votes / np.maximum(seen, 1), np.nan)
 
     def predict(self, x: np.ndarray) -> np.ndarray:
         return np.clip(sum(t.predict(x) for t in self.trees) / len(self.trees), 0, 1)

@@ -37,3 +37,25 @@ def test_find_and_repair(spark):
 
 def test_empty(spark):
     assert E.wrong_runs(E.scan(rows(spark, [(1, "x")]).limit(0))).count() == 0
+
+
+def test_long_runs_are_judged_whole(spark):
+    """Damaged text without a space, far longer than any buffer and not cut at a sequence."""
+    long = "ṛṣiśāṁñḥ" * 90
+    texts = [(1, g) for g in GOOD] * 12 + [(2, GOOD[0])] * 3
+    bad = [(2, through(long, "latin-1")), (2, "x " + through(long + "ā", "cp1252") + " y")]
+    df = rows(spark, texts + bad)
+    wrong = E.wrong_runs(E.scan(df))
+    n = len(texts)
+    assert {r.row_id for r in wrong.collect()} == {n, n + 1}
+    done = {r.row_id: r.repaired for r in E.repair(df, wrong).collect()}
+    assert done[n] == long and done[n + 1] == "x " + long + "ā y"
+
+
+def test_a_source_of_any_size_is_a_few_signatures(spark):
+    """The EM meets signatures, not runs: a hot source brings a bounded number of rows."""
+    e = E._Evidence({"ā": 0.5, "é": 0.5})
+    runs = [through("ā" * (1 + i % 3) + "é" * (i % 4), "cp1252") for i in range(500)]
+    assert len({e.signature(r) for r in runs}) <= len(set(runs)) <= 12
+    df = rows(spark, [(1, GOOD[0])] * 20 + [(1, through("ā", "cp1252") + " b")] * 300 + [(2, "Ã")])
+    assert len({r.row_id for r in E.wrong_runs(E.scan(df)).collect()}) >= 300

@@ -3,54 +3,42 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-MAX_LEVEL = 256  # deeper levels have no parent by level
+from ..session import materialise
+from .nearest import key_of, next_larger
 
-
-def _levels(toc: DataFrame) -> int:
-    """One more than the deepest level there is."""
-    return min(MAX_LEVEL, int(toc.agg(F.max("toc_level")).first()[0] or 1)) + 1
+def _nearest_above(toc: DataFrame) -> DataFrame:
+    """toc_id, above, at: the nearest entry of the book before it with a smaller level, and that level."""
+    rows = toc.select(F.col("toc_id").alias("id"), key_of("book_id").alias("key"), (-F.col("toc_id")).alias("pos"), (-F.col("toc_level")).cast("double").alias("value"), F.lit(True).alias("asks"), F.lit(True).alias("gives"))
+    return next_larger(rows).select(F.col("id").alias("_id"), (-F.col("found")).alias("above"), (-F.col("larger")).cast("int").alias("at"))
 
 
 def parents_by_level(toc: DataFrame) -> DataFrame:
     """Parent in file order: the nearest entry before it of the level just above, unless an entry
-    of a still higher level came in between. Level 1 has none.
-
-    One window per book that keeps a running value for each level."""
-    max_level = _levels(toc)
-    w = W.partitionBy("book_id").orderBy("toc_id").rowsBetween(W.unboundedPreceding, -1)
-    last = {k: F.last(F.when(F.col("toc_level") == k, F.col("toc_id")), ignorenulls=True).over(w) for k in range(1, max_level)}
-    out = toc.select("toc_id", "book_id", "toc_level", *[c.alias(f"_l{k}") for k, c in last.items()])
-    # The newest entry above each level.
-    out = out.select("*", *[F.greatest(*[F.col(f"_l{j}") for j in range(1, k)], F.lit(-1), F.lit(-1)).alias(f"_h{k}") for k in range(1, max_level)])
-    parent = F.lit(None).cast("long")
-    for k in range(2, max_level):
-        parent = F.when((F.col("toc_level") == k) & (F.col(f"_l{k - 1}") > F.col(f"_h{k - 1}")), F.col(f"_l{k - 1}")).otherwise(parent)
-    return out.select("toc_id", "book_id", "toc_level", parent.alias("parent_toc_id"))
+    of a still higher level came in between. Level 1 and entries without a level have none."""
+    above = _nearest_above(toc.where("toc_level is not null"))
+    t = toc.select("toc_id", "book_id", "toc_level")
+    return t.join(above, F.col("toc_id") == F.col("_id"), "left").select("toc_id", "book_id", "toc_level", F.when((F.col("toc_level") > 1) & (F.col("at") == F.col("toc_level") - 1), F.col("above")).alias("parent_toc_id"))
 
 
 def parents_monotonic(toc: DataFrame) -> DataFrame:
-    """Parent: the nearest entry before it with a smaller level (levels under 1 count as 1)."""
-    max_level = _levels(toc)
-    level = F.greatest(F.col("toc_level"), F.lit(1))
-    w = W.partitionBy("book_id").orderBy("toc_id").rowsBetween(W.unboundedPreceding, -1)
-    t = toc.select("toc_id", "book_id", level.alias("level"))
-    last = [F.last(F.when(F.col("level") == k, F.col("toc_id")), ignorenulls=True).over(w).alias(f"_l{k}") for k in range(1, max_level)]
-    t = t.select("*", *last)
-    none = F.lit(None).cast("long")
-    smaller = [none, none, *[F.when(F.col("level") > k, F.col(f"_l{k}")) for k in range(1, max_level)]]
-    return t.select("toc_id", "book_id", "level", F.greatest(*smaller).alias("parent_toc_id"))
+    """Parent: the nearest entry before it with a smaller level (levels under 1 or missing count as 1)."""
+    t = toc.select("toc_id", "book_id", F.greatest(F.col("toc_level"), F.lit(1)).alias("toc_level"))
+    return t.join(_nearest_above(t), F.col("toc_id") == F.col("_id"), "left").select("toc_id", "book_id", F.col("toc_level").alias("level"), F.col("above").alias("parent_toc_id"))
 
 
 def combined_labels(toc: DataFrame) -> DataFrame:
     """Level-2 entries without a page label are appended to the level-1 entry before them."""
-    w = W.partitionBy("book_id").orderBy("toc_id").rowsBetween(W.unboundedPreceding, 0)
     no_page = F.coalesce(F.trim("page_label_raw"), F.lit("")) == ""
-    t = toc.withColumn("_head", F.last(F.when(F.col("toc_level") == 1, F.col("toc_id")), ignorenulls=True).over(w)).withColumn("_merged", (F.col("toc_level") == 2) & no_page & F.col("_head").isNotNull())
-    parts = t.where("_merged").groupBy(F.col("_head").alias("_h")).agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("toc_id", "toc_label"))), lambda x: x["toc_label"]), " - ").alias("_more"))
-    return t.where("not _merged").join(parts, F.col("toc_id") == F.col("_h"), "left").select("toc_id", "book_id", "toc_level", F.when(F.col("_more").isNotNull(), F.concat("toc_label", F.lit(" - "), "_more")).otherwise(F.col("toc_label")).alias("toc_label"))
+    merges = F.coalesce((F.col("toc_level") == 2) & no_page, F.lit(False))
+    top = F.coalesce(F.col("toc_level") == 1, F.lit(False))
+    rows = toc.select(F.col("toc_id").alias("id"), key_of("book_id").alias("key"), (-F.col("toc_id")).alias("pos"), F.when(top, 1.0).otherwise(0.0).alias("value"), merges.alias("asks"), top.alias("gives"))
+    heads = next_larger(rows.where("asks or gives")).where("found is not null").select(F.col("id").alias("_id"), (-F.col("found")).alias("_head"))
+    t = toc.join(heads, F.col("toc_id") == F.col("_id"), "left")
+    # As many parts as the entry's label is to have.
+    parts = t.where("_head is not null").groupBy(F.col("_head").alias("_h")).agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("toc_id", "toc_label"))), lambda x: x["toc_label"]), " - ").alias("_more"))
+    return t.where("_head is null").join(parts, F.col("toc_id") == F.col("_h"), "left").select("toc_id", "book_id", "toc_level", F.when(F.col("_more").isNotNull(), F.concat("toc_label", F.lit(" - "), "_more")).otherwise(F.col("toc_label")).alias("toc_label"))
 
 
 def resolve_labels(toc: DataFrame, page_map: DataFrame) -> DataFrame:
@@ -87,17 +75,22 @@ def page_ranges(starts: DataFrame, totals: DataFrame) -> DataFrame:
     """Start, end and number of pages. The end is the page before the next sibling (or else the
     next entry of a higher level) that starts later, else the book's last page.
 
-    The later entries of a book are kept in one sorted array per (book, parent) and (book), whose
-    size is that of a table of contents."""
-    s = starts.where("start_page > 0")
-    key = F.coalesce("parent_toc_id", F.lit(-1).cast("long"))
-    sib = s.groupBy(F.col("book_id").alias("sb"), key.alias("sp"), F.col("toc_level").alias("sl")).agg(F.array_sort(F.collect_list(F.struct("toc_id", "start_page"))).alias("sibs"))
-    high = s.groupBy(F.col("book_id").alias("hb")).agg(F.array_sort(F.collect_list(F.struct("toc_id", "start_page", "toc_level"))).alias("all"))
-    t = starts.join(sib, (F.col("book_id") == F.col("sb")) & (key == F.col("sp")) & (F.col("toc_level") == F.col("sl")), "left").join(high, F.col("book_id") == F.col("hb"), "left").join(totals, "book_id", "left")
-    t = t.withColumn("_n", F.when(F.size("sibs") > 0, F.try_element_at(F.expr("transform(filter(sibs, x -> x.toc_id > toc_id and x.start_page > start_page), x -> x.start_page)"), F.lit(1)))).withColumn(
-        "_h", F.try_element_at(F.expr("transform(filter(all, x -> x.toc_id > toc_id and x.toc_level < toc_level and x.start_page > start_page), x -> x.start_page)"), F.lit(1))
-    )
-    end = F.when(F.col("start_page") > 0, F.coalesce(F.col("_n") - 1, F.col("_h") - 1, F.col("number_of_pages")))
+    Siblings are the entries of one parent and level, in id order. Entries without such a sibling
+    ask, for each level of theirs, those of higher levels."""
+    s = materialise(starts.select("toc_id", "book_id", "toc_level", "parent_toc_id", "start_page"))
+    at = s.where("start_page > 0")
+    value, yes, no = F.col("start_page").cast("double"), F.lit(True), F.lit(False)
+    sib = next_larger(at.select(F.col("toc_id").alias("id"), key_of("book_id", "parent_toc_id", "toc_level").alias("key"), F.col("toc_id").alias("pos"), value.alias("value"), yes.alias("asks"), yes.alias("gives")))
+    sib = materialise(sib.select("id", "larger"))
+    rest = at.join(sib.where("larger is null").select(F.col("id").alias("_id")), F.col("toc_id") == F.col("_id"), "left_semi")
+    # One row for each level of a book that asks.
+    levels = rest.select(F.col("book_id").alias("_b"), F.col("toc_level").alias("_l")).distinct()
+    asks = rest.select(F.col("toc_id").alias("id"), key_of("book_id", "toc_level").alias("key"), F.col("toc_id").alias("pos"), value.alias("value"), yes.alias("asks"), no.alias("gives"))
+    gives = at.join(levels, F.expr("book_id <=> _b and toc_level < _l")).select(F.col("toc_id").alias("id"), key_of("_b", "_l").alias("key"), F.col("toc_id").alias("pos"), value.alias("value"), no.alias("asks"), yes.alias("gives"))
+    high = next_larger(asks.unionByName(gives)).select("id", "larger")
+    nearest = sib.where("larger is not null").unionByName(high.where("larger is not null")).select(F.col("id").alias("_id"), F.col("larger").cast("int").alias("_next"))
+    t = s.join(nearest, F.col("toc_id") == F.col("_id"), "left").join(totals, "book_id", "left")
+    end = F.when(F.col("start_page") > 0, F.coalesce(F.col("_next") - 1, F.col("number_of_pages")))
     return t.select("toc_id", "book_id", "start_page", end.alias("end_page"), F.when(end.isNull(), 0).otherwise(F.greatest(F.lit(0), end - F.col("start_page") + 1)).alias("page_count"))
 
 

@@ -31,9 +31,12 @@ _local: list[str] = []
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder named by spark.checkpoint.dir; a private one only where that is unset (tests)."""
+    """The folder named by spark.checkpoint.dir. Where that is unset, a private one in a session of
+    one machine (tests); on a cluster, where every executor would write to its own disk, an error."""
     at = spark.conf.get("spark.checkpoint.dir", None)
     if not at:
+        if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         if not _local:
             _local.append(tempfile.mkdtemp(prefix="scriptorium-"))
         at = "file://" + _local[0]

@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .session import materialise
+
 #: Key and recency column of each corpus table.
 KEYS: dict[str, tuple[tuple[str, ...], str]] = {
     "content": (("content_id",), "updated_at"),
@@ -43,11 +45,33 @@ def latest(df: DataFrame, keys: Sequence[str], order: Column, columns: Sequence[
     return got.select(*keys, *[F.col("_row")[c].alias(c) for c in rest])
 
 
+#: Columns whose values are long: rows with them stay where they are.
+WIDE = {"content": ("page_content", "ai_page_content")}
+
+
+def superseded(df: DataFrame, keys: Sequence[str], order: Column) -> DataFrame:
+    """_file, _row of all rows but the one that counts for each key. df: with _file and _row.
+
+    Only keys, times and places are shuffled; what comes back is as many rows as are out of date."""
+    narrow = df.select(*keys, order.alias("_t"), F.struct("_file", "_row").alias("_at"))
+    many = materialise(narrow.groupBy(*keys).agg(F.max_by("_at", "_t").alias("_now"), F.count("*").alias("_n")).where("_n > 1").select(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)], "_now"))
+    on = [F.col(k).eqNullSafe(F.col(f"_k{i}")) for i, k in enumerate(keys)]
+    return materialise(narrow.join(many, on).where("_at <> _now").select("_at._file", "_at._row"))
+
+
 def current(spark: SparkSession, sf_dir: str, name: str, columns: Sequence[str]) -> DataFrame:
-    """Current rows of a corpus table, only the named columns (pruned at the scan)."""
+    """Current rows of a corpus table, only the named columns (pruned at the scan).
+
+    Rows with long values aren't shuffled: those out of date are taken off at the scan by their place
+    in the files. How many they are is known by then, so Spark broadcasts them if their size permits
+    and joins by sorting if not. Filters on the result reach the scan."""
     keys, ts = KEYS[name]
     df = load(spark, sf_dir, name)
-    return latest(df, list(keys), recency(name), list(columns))
+    if not set(columns) & set(WIDE.get(name, ())):
+        return latest(df, list(keys), recency(name), list(columns))
+    place = [F.col("_metadata.file_path").alias("_file"), F.col("_metadata.row_index").alias("_row")]
+    old = superseded(df.select(*keys, ts, *place), list(keys), recency(name))
+    return df.select(*columns, *place).join(old, ["_file", "_row"], "left_anti").select(*columns)
 
 
 def current_sql(name: str) -> str:

@@ -32,14 +32,20 @@ def statistics(text: Column) -> dict[str, Column]:
 
 
 def publisher_score(text: Column) -> Column:
-    s = statistics(text)
-    points = [(text.rlike("(?i)" + p), 3) for p in PUBLISHER] + [(text.rlike("(?i)" + OTHER), -2)]
-    points += [(s["urls"] >= 3, 2), (s["mails"] >= 1, 1), (s["phones"] >= 3, 2), ((s["words"] <= 250) & (s["urls"] + s["mails"] + s["phones"] >= 5), 3), ((s["numbers"] >= 30) & (s["words"] <= 500), 2), (s["titles"] >= 8, 2), (s["caps"] >= 4, 1)]
-    points.append((F.lower(text).contains("license") & F.lower(text).contains("creative"), 2))
-    total = F.lit(0)
-    for c, n in points:
-        total = total + F.when(c, n).otherwise(0)
-    return total
+    """Points of a publisher's page. The measures are taken once and bound to a name."""
+    measured = F.struct(*[c.alias(k) for k, c in statistics(text).items()], F.lower(text).alias("low"))
+
+    def points(s: Column) -> Column:
+        links = s["urls"] + s["mails"] + s["phones"]
+        signs = [(s["urls"] >= 3, 2), (s["mails"] >= 1, 1), (s["phones"] >= 3, 2), ((s["words"] <= 250) & (links >= 5), 3), ((s["numbers"] >= 30) & (s["words"] <= 500), 2), (s["titles"] >= 8, 2), (s["caps"] >= 4, 1)]
+        signs += [(s["low"].contains("license") & s["low"].contains("creative"), 2)]
+        signs += [(text.rlike("(?i)" + p), 3) for p in PUBLISHER] + [(text.rlike("(?i)" + OTHER), -2)]
+        total = F.lit(0)
+        for c, n in signs:
+            total = total + F.when(c, n).otherwise(0)
+        return total
+
+    return F.element_at(F.transform(F.array(measured), points), 1)
 
 
 def confidence(score: Column) -> Column:
@@ -69,3 +75,74 @@ def whitespace(text: Column) -> Column:
 
 def code_point(c: Column) -> Column:
     return F.format_string("U+%04X", F.ascii(c))
+
+
+def complete(text: Column) -> Column:
+    """Whether a description ends as one does: with a full stop or a closing bracket."""
+    return F.coalesce(F.right(F.rtrim(text), F.lit(1)).isin(".", "]", ")"), F.lit(False))
+
+
+def clean_summary(text: Column) -> Column:
+    """A summary's text: runs of blank lines become one, other white space one space, lines are
+    trimmed, and so are blank lines at both ends. NULL gives ''."""
+    t = F.regexp_replace(F.coalesce(text, F.lit("")), r"^\s+|\s+$", "")
+    t = F.regexp_replace(t, r"\n\s*\n\s*\n+", "\n\n")
+    t = F.regexp_replace(t, r"[^\S\n]+", " ")
+    return F.regexp_replace(F.regexp_replace(t, r"(?m)^ +| +$", ""), r"^\n+|\n+$", "")
+
+
+def clean_list_line(text: Column) -> Column:
+    """A line without bullets at its beginning and with runs of dots as one ellipsis."""
+    return whitespace(F.regexp_replace(F.regexp_replace(text, r"^[\s•·▪◦*\-–—]+", ""), r"\.{3,}|…", "…"))
+
+
+def verse_lines(text: Column) -> Column:
+    """Text of a verse index: leaders of three dots or more, also spaced ones, become five, and lines
+    have no white space at their ends. Glyphs are mapped before (map_glyphs)."""
+    t = F.regexp_replace(text, r"(?:\.\s*){3,}", ".....")
+    return F.array_join(F.transform(F.split(t, r"\r\n|\r|\n"), lambda x: F.regexp_replace(x, r"\s+$", "")), "\n")
+
+
+# Signs that end a word's context.
+DELIMITERS = r" \n\r\t.,;:!?()\[\]{}"
+
+
+def word_contexts(text: Column, char: str) -> Column:
+    """The words around every place of a character, from delimiter to delimiter; a word that has it
+    twice comes once."""
+    return F.regexp_extract_all(text, F.lit(f"[^{DELIMITERS}]*{char}[^{DELIMITERS}]*"), F.lit(0))
+
+
+def safe_string(value: Column) -> Column:
+    """Any value as trimmed text, NULL as ''."""
+    return F.coalesce(F.trim(value.cast("string")), F.lit(""))
+
+
+def clean_value(text: Column) -> Column:
+    """Trimmed text, NULL where nothing is left."""
+    return F.nullif(F.trim(text), F.lit(""))
+
+
+def image_extension(data: Column) -> Column:
+    """File extension by the first bytes of an image; png where they aren't known."""
+    head = F.hex(F.substring(data, 1, 12))
+    return F.when(head.startswith("FFD8FF"), "jpeg").when(head.startswith("89504E47"), "png").when(head.startswith("474946"), "gif").when(head.startswith("52494646") & head.endswith("57454250"), "webp").when(head.startswith("49492A00") | head.startswith("4D4D002A"), "tiff").otherwise("png")
+
+
+def data_uri(data: Column) -> Column:
+    """An image inline, with its type."""
+    return F.concat(F.lit("data:image/"), image_extension(data), F.lit(";base64,"), F.base64(data))
+
+
+def preview(text: Column, size: int = 50) -> Column:
+    return F.left(text, F.lit(size))
+
+
+def thousands(n: Column) -> Column:
+    return F.format_number(n, 0)
+
+
+def default_name(stem: str, filters: dict[str, object], stamp: str, extension: str = "csv") -> str:
+    """File name of a report: its filters that are set, in order, and the time it was made."""
+    parts = [stem, *[f"{k}_{v}" for k, v in filters.items() if v not in (None, "", [])], stamp]
+    return "_".join(str(p).replace(" ", "_") for p in parts) + f".{extension}"

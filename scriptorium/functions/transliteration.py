@@ -9,10 +9,17 @@ from pyspark.sql import functions as F
 
 # Digraphs, then single glyphs, and what they stand for, in order of application.
 DIGRAPHS = (("åñ", "ṛṣ"), ("Åñ", "Ṛṣ"), ("ÅÑ", "ṚṢ"))
-GLYPHS = (
-    "ä ā,Ä Ā,é ī,É Ī,ü ū,Ü Ū,î ī,Î Ī,ë ṇ,Ë Ṇ,√ ṇ,ö ṭ,Ö Ṭ,ò ḍ,Ò Ḍ,∂ ḍ,∫ ṅ,ì ṅ,Ì Ṅ,ç ś,Ç Ś,ß ṣ,® ṛ,µ ṁ,ù ḥ,Ù Ḥ,† ṭ,ˇ Ṭ,à ṁ,À Ṁ,ï ñ,Ï Ñ"
-)
-PAIRS = [tuple(p.split(" ")) for p in GLYPHS.split(",")]
+PAIRS = [
+    ("ä", "ā"), ("Ä", "Ā"), ("é", "ī"), ("É", "Ī"), ("ü", "ū"), ("Ü", "Ū"), ("î", "ī"), ("Î", "Ī"), ("ë", "ṇ"), ("Ë", "Ṇ"), ("√", "ṇ"),
+    ("ö", "ṭ"), ("Ö", "Ṭ"), ("ò", "ḍ"), ("Ò", "Ḍ"), ("∂", "ḍ"), ("∫", "ṅ"), ("ì", "ṅ"), ("Ì", "Ṅ"), ("ç", "ś"), ("Ç", "Ś"), ("ß", "ṣ"),
+    ("®", "ṛ"), ("µ", "ṁ"), ("ù", "ḥ"), ("Ù", "Ḥ"), ("†", "ṭ"), ("ˇ", "Ṭ"), ("à", "ṁ"), ("À", "Ṁ"), ("ï", "ñ"), ("Ï", "Ñ"),
+]
+# The maps of single words: the first knows no å and ñ, the second takes å for ṛ.
+WORD_PAIRS = [
+    ("ä", "ā"), ("Ä", "Ā"), ("é", "ī"), ("É", "Ī"), ("ë", "ṇ"), ("Ë", "Ṇ"), ("ï", "ñ"), ("Ï", "Ñ"), ("ö", "ṭ"), ("Ö", "Ṭ"), ("ü", "ū"), ("Ü", "Ū"), ("ò", "ḍ"), ("Ò", "Ḍ"), ("ç", "ś"), ("Ç", "Ś"),
+    ("ß", "ṣ"), ("î", "ī"), ("Î", "Ī"), ("®", "ṛ"), ("µ", "ṁ"), ("√", "ṇ"), ("∂", "ḍ"), ("∫", "ṅ"), ("ù", "ḥ"), ("Ù", "Ḥ"), ("†", "ṭ"),
+]
+SAMPLE_PAIRS = [*WORD_PAIRS, ("å", "ṛ"), ("Å", "Ṛ")]
 # Letters of words and of valid transliteration.
 IAST = "aāiīuūṛṝḷḹeoṁṃḥkgṅcjñṭḍṇtdnpbmyrlvśṣsh"
 LETTERS = "A-Za-zāīūṛṝḷḹēōṁṃḥṅñṭḍṇśṣåĀĪŪṚṜḶḸĒŌṀṂḤṄÑṬḌṆŚṢÅ"
@@ -23,7 +30,10 @@ A_RULES = [
     ("([^i])dhåt", "$1dhṛt"), ("bhåg", "bhṛg"), ("håda", "hṛda"), ("å", "ā"),
 ]
 # Tags of corrections (left side before, right side after).
-TAGS = "ñṇ→ṣṇ viñ→viṣ kñ→kṣ rña→rṣa ñṭ→ṣṭ ñeka→ṣeka śiñya→śiṣya ñya→ṣya ñma→ṣma åh→ṛh amåt→amṛt småt→smṛt gåhī→gṛhī tåpt→tṛpt tåṇ→tṛṇ dåḍh→dṛḍh dåśy→dṛśy prakåt→prakṛt kåt→kṛt vånd→vṛnd dhåt→dhṛt".split()
+TAGS = [
+    ("ñṇ", "ṣṇ"), ("viñ", "viṣ"), ("kñ", "kṣ"), ("rña", "rṣa"), ("ñṭ", "ṣṭ"), ("ñeka", "ṣeka"), ("śiñya", "śiṣya"), ("ñya", "ṣya"), ("ñma", "ṣma"), ("åh", "ṛh"), ("amåt", "amṛt"), ("småt", "smṛt"),
+    ("gåhī", "gṛhī"), ("tåpt", "tṛpt"), ("tåṇ", "tṛṇ"), ("dåḍh", "dṛḍh"), ("dåśy", "dṛśy"), ("prakåt", "prakṛt"), ("kåt", "kṛt"), ("vånd", "vṛnd"), ("dhåt", "dhṛt"),
+]
 TOKEN = rf"[{LETTERS}\-]+|\s+|[^\s\w]+|\d+|."
 
 
@@ -33,6 +43,11 @@ def map_glyphs(text: Column) -> Column:
     return F.translate(t, "".join(a for a, _ in PAIRS), "".join(b for _, b in PAIRS))
 
 
+def map_words(words: Column, pairs: list[tuple[str, str]]) -> Column:
+    """A list of words, each with its glyphs replaced by one of the maps for single words."""
+    return F.transform(words, lambda w: F.translate(w, "".join(a for a, _ in pairs), "".join(b for _, b in pairs)))
+
+
 def glyph_count(text: Column, glyph: str) -> Column:
     return F.length(text) - F.length(F.replace(text, F.lit(glyph), F.lit("")))
 
@@ -83,12 +98,15 @@ def word_class(w: Column) -> Column:
 
 
 def validated(before: Column, after: Column, confidence: Column) -> dict[str, Column]:
-    """Whether a correction has errors or warnings, and its confidence after them."""
+    """Errors and warnings of a correction, and its confidence after them. A warning stands for a
+    length that changed by more than two, and one for every letter of no transliteration."""
     low = F.lower(after)
     error = F.regexp_replace(low, "jñ|ñc|ñj", "").contains("ñ") | low.contains("å")
-    warning = (F.abs(F.length(after) - F.length(before)) > 2) | F.regexp_replace(low, rf"[{IAST}]", "").rlike(r"\p{L}")
+    long = F.when(F.abs(F.length(after) - F.length(before)) > 2, 1).otherwise(0)
+    foreign = F.regexp_count(F.regexp_replace(low, rf"[{IAST}]", ""), F.lit(r"\p{L}"))
+    warning = long + foreign > 0
     c = confidence * F.when(error, 0.7).otherwise(1.0) * F.when(warning, 0.9).otherwise(1.0)
-    return {"error": error, "warning": warning, "confidence": F.round(c, 6), "review": F.round(c, 6) < 0.90}
+    return {"error": error, "warning": warning, "confidence": F.round(c, 6), "review": F.round(c, 6) < 0.90, "warnings": (long + foreign).cast("int")}
 
 
 def fix_text(text: Column) -> Column:
@@ -108,15 +126,31 @@ def corrections(words: DataFrame) -> DataFrame:
     c = words.withColumn("class", word_class(F.col("word"))).withColumn("corrected", fix_word(F.col("word")))
     base = F.when(F.col("class") == "CLEAN", 1.0).when(F.col("class").startswith("SINGLE"), 0.99).otherwise(0.95)
     low_b, low_a = F.lower("word"), F.lower("corrected")
-    tags = F.array_join(F.filter(F.array(*[F.when(low_b.contains(t.split("→")[0]) & low_a.contains(t.split("→")[1]), t) for t in TAGS]), lambda x: x.isNotNull()), " ")
+    tags = F.array_join(F.filter(F.array(*[F.when(low_b.contains(x) & low_a.contains(y), f"{x}→{y}") for x, y in TAGS]), lambda x: x.isNotNull()), " ")
     v = validated(F.col("word"), F.col("corrected"), base)
     changed = F.col("word") != F.col("corrected")
     return c.select("word", "n", "class", "corrected", F.when(changed, tags).otherwise("").alias("tags"), *[x.alias(k) for k, x in v.items()])
 
 
 def page_statistics(pages: DataFrame, key: str, text: str) -> DataFrame:
-    """Words, corrected words, words of each class and words to review, per page."""
-    w = words_of(pages.select(key, text), text).select(key, "word")
-    c = corrections(w.groupBy("word").agg(F.count("*").alias("n"))).select("word", "class", "corrected", "review", "error")
-    j = w.join(c, "word")
-    return j.groupBy(key).agg(F.count("*").alias("words"), F.count_if(F.col("word") != F.col("corrected")).alias("corrected"), *[F.count_if(F.col("class") == k).alias(k.lower()) for k in ("CLEAN", "SINGLE_N", "SINGLE_A", "BOTH", "MULTIPLE_N", "MULTIPLE_A")], F.count_if("review").alias("review"), F.count_if("error").alias("errors"))
+    """Words, corrected words, words of each class and words to review, per page.
+
+    All is computed on the page's own words: nothing is shuffled but a row of counts, and none where
+    keys don't repeat. Words without å and ñ need no correction, have no errors and no review."""
+    tokens = F.regexp_extract_all(map_glyphs(F.col(text)), F.lit("(?Us)" + TOKEN), F.lit(0))
+    words = F.filter(tokens, lambda t: t.rlike(rf"^[{LETTERS}\-]+$"))
+    p = pages.select(key, words.alias("_w")).select(key, F.size("_w").cast("long").alias("words"), F.filter("_w", lambda t: t.rlike("[ñÑåÅ]")).alias("_d"))
+
+    def judged(w: Column) -> Column:
+        c, after = word_class(w), fix_word(w)
+        v = validated(w, after, F.when(c.startswith("SINGLE"), 0.99).otherwise(0.95))
+        return F.struct(c.alias("c"), (w != after).alias("changed"), v["review"].alias("review"), v["error"].alias("error"))
+
+    p = p.where("words > 0").select(key, "words", F.transform("_d", judged).alias("_j"))
+    n = lambda f: F.size(F.filter("_j", f)).cast("long")
+    of = lambda kind: n(lambda x: x["c"] == kind).alias(kind.lower())
+    p = p.select(
+        key, "words", n(lambda x: x["changed"]).alias("corrected"), (F.col("words") - F.size("_j")).cast("long").alias("clean"),
+        *[of(k) for k in ("SINGLE_N", "SINGLE_A", "BOTH", "MULTIPLE_N", "MULTIPLE_A")], n(lambda x: x["review"]).alias("review"), n(lambda x: x["error"]).alias("errors"),
+    )
+    return p.groupBy(key).agg(*[F.sum(c).alias(c) for c in p.columns if c != key])

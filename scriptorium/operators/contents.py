@@ -134,3 +134,41 @@ def validation(toc: DataFrame, starts: DataFrame) -> DataFrame:
         F.count("*").alias("total"), F.count_if(F.col("toc_level") == 1).alias("level_one"), F.count_if(F.coalesce(F.trim("page_label_raw"), F.lit("")) == "").alias("no_label"),
         F.count_if(F.col("method") == "own").alias("own_page"), F.count_if(F.col("method") == "descendant").alias("computed_page"), F.count("_o").alias("orphaned"),
     )
+
+
+def roots(toc: DataFrame) -> DataFrame:
+    """Entries without a parent, in order."""
+    return toc.where("parent_toc_id is null").select("toc_id", "book_id", "toc_level", "toc_label").orderBy("toc_id")
+
+
+def item_by_label(toc: DataFrame, label: str, exact: bool = True) -> DataFrame:
+    """Per book the first entry, by level and id, whose label is the given one or contains it
+    ignoring case."""
+    hit = F.col("toc_label") == label if exact else F.col("toc_label").ilike(f"%{label}%")
+    first = toc.where(hit).groupBy("book_id").agg(F.min(F.struct("toc_level", "toc_id", "toc_label")).alias("m"))
+    return first.select("book_id", F.col("m.toc_id").alias("toc_id"), F.col("m.toc_level").alias("toc_level"), F.col("m.toc_label").alias("toc_label"))
+
+
+def nested(toc: DataFrame, depth: int = 5) -> DataFrame:
+    """Every top entry with all below it, down to a depth, as one text: an id and, in brackets, its
+    children in id order. Built from below, level by level; an entry holds its own descendants."""
+    t = toc.select("toc_id", "book_id", "parent_toc_id")
+    have = t.select("toc_id", "book_id", F.col("toc_id").cast("string").alias("tree"))
+    for _ in range(depth - 1):
+        kids = t.where("parent_toc_id is not null").join(have.select(F.col("toc_id").alias("_t"), "tree"), F.col("toc_id") == F.col("_t")).groupBy(F.col("parent_toc_id").alias("_p"), F.col("book_id").alias("_b"))
+        kids = kids.agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("toc_id", "tree"))), lambda x: x["tree"]), ",").alias("_kids"))
+        have = materialise(t.join(kids, F.expr("toc_id = _p and book_id <=> _b"), "left").select("toc_id", "book_id", F.concat(F.col("toc_id").cast("string"), F.when(F.col("_kids").isNotNull(), F.concat(F.lit("("), "_kids", F.lit(")"))).otherwise("")).alias("tree")))
+    return have.join(t.where("parent_toc_id is null").select("toc_id"), "toc_id", "left_semi")
+
+
+def core_summary(ranges: DataFrame) -> DataFrame:
+    """Books, those with a core range, its pages, their average and the rate of success."""
+    ok = F.col("core_start").isNotNull() & F.col("core_end").isNotNull() & (F.col("core_start") != 0) & (F.col("core_end") != 0)
+    pages = F.when(ok, F.col("core_end") - F.col("core_start") + 1)
+    return ranges.agg(F.count("*").alias("books"), F.count_if(ok).alias("analysed"), F.coalesce(F.sum(pages), F.lit(0).cast("long")).alias("core_pages"), F.round(F.avg(pages), 4).alias("average"), F.round(F.when(F.count("*") > 0, F.count_if(ok) * 100 / F.count("*")).otherwise(0.0), 4).alias("rate"))
+
+
+def validation_messages(validated: DataFrame) -> DataFrame:
+    """One row for each finding about a book: validated is the result of ``validation``."""
+    found = [("no entries of the first level", F.col("level_one") == 0), ("entries without a label", F.col("no_label") > 0), ("entries whose parent is missing", F.col("orphaned") > 0), ("entries without a page", F.col("own_page") + F.col("computed_page") < F.col("total"))]
+    return validated.select("book_id", F.explode(F.filter(F.array(*[F.when(c, F.lit(m)) for m, c in found]), lambda x: x.isNotNull())).alias("message"))

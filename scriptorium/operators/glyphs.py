@@ -31,10 +31,19 @@ def glyph_words(pages: DataFrame, glyphs: str = GLYPHS + UPPER, most_pages: int
 
 
 def glyph_summary(records: DataFrame) -> DataFrame:
-    """Per font, glyph and code point: occurrences, books and all different sample words."""
-    return records.groupBy("font_name", "glyph", "unicode_codepoint").agg(
-        F.sum("occurrence_count").alias("total"), F.count_distinct("book_id").alias("books"), F.array_join(F.array_sort(F.collect_set("book_id")).cast("array<string>"), ",").alias("book_ids"), F.array_sort(F.array_distinct(F.flatten(F.collect_list(F.coalesce("sample_words", F.array().cast("array<string>")))))).alias("words")
-    ).select("font_name", "glyph", "unicode_codepoint", "total", "books", "book_ids", F.size("words").alias("n_words"), F.md5(F.array_join("words", "|")).alias("words_hash"))
+    """Per font, glyph and code point: occurrences, number and list of books and all different sample
+    words, in order.
+
+    Words and books are made different before they are listed, so a list is as long as the result."""
+    key = ["font_name", "glyph", "unicode_codepoint"]
+    total = records.groupBy(*key).agg(F.sum("occurrence_count").alias("total"))
+    books = records.where("book_id is not null").select(*key, "book_id").distinct().groupBy(*key).agg(F.count("*").alias("books"), F.array_join(F.array_sort(F.collect_list("book_id")).cast("array<string>"), ",").alias("book_ids"))
+    words = records.select(*key, F.explode("sample_words").alias("w")).where("w is not null").distinct().groupBy(*key).agg(F.count("*").alias("n_words"), F.array_join(F.array_sort(F.collect_list("w")), "|").alias("words"))
+    none = F.lit(0).cast("long")
+    same = lambda d, p: [F.col(c).eqNullSafe(F.col(f"_{p}{c}")) for c in key]
+    mark = lambda d, p: d.select(*[F.col(c).alias(f"_{p}{c}") for c in key], *[c for c in d.columns if c not in key])
+    out = total.join(mark(books, "b"), same(books, "b"), "left").join(mark(words, "w"), same(words, "w"), "left")
+    return out.select(*key, "total", F.coalesce("books", none).alias("books"), F.coalesce("book_ids", F.lit("")).alias("book_ids"), F.coalesce("n_words", none).alias("n_words"), F.coalesce("words", F.lit("")).alias("words"))
 
 
 def top(records: DataFrame, by: str, n: int = 5) -> DataFrame:
@@ -48,6 +57,24 @@ def char_glyphs(pages: DataFrame, allowed: str) -> DataFrame:
     return c.groupBy("book_id", "char").agg(F.count("*").alias("n"), F.count_distinct("page_number").alias("pages"), F.min("page_number").alias("first_page"))
 
 
+def char_contexts(pages: DataFrame, allowed: str, most: int = 20) -> DataFrame:
+    """Per book and character outside the allowed set: how often it occurs, its first pages and the
+    first different words around it, at most ``most`` of each.
+
+    Words are counted before they are ranked, so a frequent character brings one row a word."""
+    delimiters = r" \n\r\t.,;:!?()\[\]{}"
+    w = pages.select("book_id", "page_number", F.posexplode(F.regexp_extract_all("page_content", F.lit(f"[^{delimiters}]+"), F.lit(0))).alias("pos", "word"))
+    hit = w.where(F.col("word").rlike(f"[^{allowed}]")).select("book_id", "page_number", "pos", "word", F.explode(F.regexp_extract_all("word", F.lit(f"[^{allowed}]"), F.lit(0))).alias("char"))
+    key = ["book_id", "char"]
+    per = hit.groupBy(*key, "word", "page_number").agg(F.count("*").alias("n"), F.min("pos").alias("pos"))
+    total = per.groupBy(*key).agg(F.sum("n").alias("n"))
+    page = per.select(*key, "page_number").distinct().withColumn("k", F.row_number().over(W.partitionBy(*key).orderBy("page_number"))).where(F.col("k") <= most)
+    page = page.groupBy(*key).agg(F.array_join(F.array_sort(F.collect_list("page_number")).cast("array<string>"), ",").alias("pages"))
+    word = per.groupBy(*key, "word").agg(F.min(F.struct("page_number", "pos")).alias("at")).withColumn("k", F.row_number().over(W.partitionBy(*key).orderBy("at", "word"))).where(F.col("k") <= most)
+    word = word.groupBy(*key).agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("k", "word"))), lambda x: x["word"]), " ").alias("contexts"))
+    return total.join(page, key).join(word, key)
+
+
 def ambiguous_words(pages: DataFrame) -> DataFrame:
     """Words (or parts of compounds) with å or ñ per book group and diacritic, without those that
     contain another word of the group whole.

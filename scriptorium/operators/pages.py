@@ -16,7 +16,8 @@ def classify(content: DataFrame, core: DataFrame, ranges: DataFrame | None = Non
     ranges: book_id, toc_pages, glossary_pages, verse_pages as range texts; later ones win.
     images: book_id, page_number, coverage (total), largest, images. Then, in this order, a page is
     Empty, Publisher Info (outside the ranges) or Image Page (Core only)."""
-    t = content.join(core, "book_id", "left")
+    # Of the texts only the score and whether they are empty go through the joins.
+    t = content.select("book_id", "page_number", F.coalesce(publisher_score(F.col("page_content")), F.lit(0)).alias("_pub"), empty_page(F.col("page_content")).alias("_empty")).join(core, "book_id", "left")
     kinds = [("toc_pages", "Table of Contents"), ("glossary_pages", "Glossary"), ("verse_pages", "Verse Index")]
     ranges = ranges if ranges is not None else content.select("book_id").distinct().select("book_id", *[F.lit(None).cast("string").alias(c) for c, _ in kinds])
     t = t.join(ranges.select("book_id", *[F.col(c) if c in ranges.columns else F.lit(None).cast("string").alias(c) for c, _ in kinds]), "book_id", "left")
@@ -30,7 +31,6 @@ def classify(content: DataFrame, core: DataFrame, ranges: DataFrame | None = Non
         hit = F.coalesce((p >= lo) & (p <= hi), F.lit(False))
         ranged, in_range = F.when(hit, name).otherwise(ranged), in_range | hit
     t = t.withColumn("_type", ranged).withColumn("_in", in_range).withColumn("_base", F.when(both, 6.0).otherwise(3.0)).withColumn("_level", F.when(both, "medium").otherwise("low"))
-    t = t.withColumn("_pub", F.coalesce(publisher_score(F.col("page_content")), F.lit(0))).withColumn("_empty", empty_page(F.col("page_content")))
     if images is not None:
         t = t.join(images.select("book_id", "page_number", "coverage", "largest", "images"), ["book_id", "page_number"], "left")
         image = image_page(F.col("coverage"), F.col("largest"), F.col("images"))

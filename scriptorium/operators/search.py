@@ -18,6 +18,45 @@ def books_by_name(book: DataFrame, pdf_name: str) -> DataFrame:
     return book.where(F.col("pdf_name") == pdf_name).select("book_id")
 
 
+#: Columns of a book's row.
+BOOK = ["book_id", "pdf_name", "original_book_title", "english_book_title", "edition", "number_of_pages", "file_size_bytes", "original_author", "commentary_author", "header_height", "footer_height", "page_label_location", "toc_pages", "verse_pages", "glossary_pages", "created_at", "updated_at"]
+
+
+def book_by_id(book: DataFrame, book_id: int) -> DataFrame:
+    """The whole row of one book; columns the table hasn't are NULL."""
+    return book.where(F.col("book_id") == book_id).select(*[F.col(c) if c in book.columns else F.lit(None).cast("string").alias(c) for c in BOOK])
+
+
+def by_name_or_stem(files: DataFrame, book: DataFrame) -> DataFrame:
+    """files: pdf_name. Adds book_id by the whole name, else by the name without its extension
+    (ignoring case); of several books the one of lowest id. NULL: neither is known."""
+    stem = lambda c: F.lower(F.regexp_replace(c, r"\.[^.]*$", ""))
+    whole = book.where("pdf_name is not null").groupBy(F.col("pdf_name").alias("_n")).agg(F.min("book_id").alias("_a"))
+    part = book.where("pdf_name is not null").groupBy(stem(F.col("pdf_name")).alias("_s")).agg(F.min("book_id").alias("_b"))
+    return files.join(whole, F.col("pdf_name") == F.col("_n"), "left").join(part, stem(F.col("pdf_name")) == F.col("_s"), "left").withColumn("book_id", F.coalesce("_a", "_b")).drop("_n", "_a", "_s", "_b")
+
+
+def without_placeholders(rows: DataFrame, title: str, mark: str = "[TO BE ADDED]") -> DataFrame:
+    """Rows whose title isn't a placeholder; a NULL title is none."""
+    return rows.where(~F.coalesce(F.col(title).startswith(mark), F.lit(False)))
+
+
+def chosen(rows: DataFrame, **wanted: object) -> DataFrame:
+    """Rows that fit all filters given: a list is a choice of values, anything else one value; None
+    or an empty list is no filter."""
+    for column, value in wanted.items():
+        if isinstance(value, (list, tuple, set)):
+            rows = rows.where(F.col(column).isin(list(value))) if value else rows
+        elif value is not None:
+            rows = rows.where(F.col(column) == value)
+    return rows
+
+
+def pages_of_type(page_map: DataFrame, kind: str) -> DataFrame:
+    """Pages of one type in order."""
+    return page_map.where(F.col("page_type") == kind).orderBy("book_id", "page_number")
+
+
 def search_books(book: DataFrame, term: str, columns: list[str] | None = None) -> DataFrame:
     return book.where(like_any(term, columns or ["original_book_title", "english_book_title", "pdf_name"])).orderBy("original_book_title")
 
@@ -77,8 +116,8 @@ def word_page_counts(content: DataFrame, words: list[str]) -> DataFrame:
 
 
 def cleaning_work(content: DataFrame, restart: int = 1) -> DataFrame:
-    """Pages with text that weren't cleaned yet, from a page on."""
-    return content.where((F.coalesce(F.col("page_content"), F.lit("")) != "") & (F.col("page_number") >= restart))
+    """Pages with text that have no cleaned text (ai_page_content) yet, from a page on."""
+    return content.where((F.coalesce(F.col("page_content"), F.lit("")) != "") & (F.coalesce(F.col("ai_page_content"), F.lit("")) == "") & (F.col("page_number") >= restart))
 
 
 def resume_points(content: DataFrame, page_map: DataFrame) -> DataFrame:
@@ -87,3 +126,18 @@ def resume_points(content: DataFrame, page_map: DataFrame) -> DataFrame:
     last = done.groupBy("book_id").agg(F.max("page_number").alias("last_page"))
     open_ = page_map.select("book_id", "page_number").join(done, ["book_id", "page_number"], "left_anti").groupBy("book_id").agg(F.count("*").alias("missing"))
     return page_map.select("book_id").distinct().join(last, "book_id", "left").join(open_, "book_id", "left").select("book_id", "last_page", F.coalesce("missing", F.lit(0).cast("long")).alias("missing"))
+
+
+def page_worklist(book: DataFrame, start: int = 1) -> DataFrame:
+    """All pages of every book from one on, whether they were done or not."""
+    return book.where(F.col("number_of_pages") >= start).select("book_id", F.explode(F.sequence(F.lit(start), F.col("number_of_pages"))).alias("page_number"))
+
+
+def valid_pages(wanted: DataFrame, book: DataFrame) -> DataFrame:
+    """Wanted pages (book_id, page_number) that their book has."""
+    return wanted.select("book_id", "page_number").distinct().join(book.select("book_id", "number_of_pages"), "book_id").where("page_number between 1 and number_of_pages").select("book_id", "page_number")
+
+
+def numbers_to_labels(wanted: DataFrame, page_map: DataFrame) -> DataFrame:
+    """Label of every wanted page (book_id, page_number), NULL where it isn't mapped."""
+    return wanted.select("book_id", "page_number").join(page_map.select("book_id", "page_number", "page_label"), ["book_id", "page_number"], "left")

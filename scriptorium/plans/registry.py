@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from . import corpus, events, extras, layouts, library, texts
+from . import corpus, events, extras, layouts, library, more, texts
 
-_MODULES = [library, texts, layouts, extras, events, corpus]
+_MODULES = [library, texts, layouts, extras, more, events, corpus]
 
 
 def queries() -> dict:

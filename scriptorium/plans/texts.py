@@ -85,7 +85,8 @@ def _fixed(word: str) -> str:
     return f"CASE WHEN regexp_matches({word}, '[ñÑåÅ]') THEN {_cased('(' + _rules(f'lower({word})') + ')', word)} ELSE {word} END"
 
 
-_TOKEN = rf"(?s)[{T.LETTERS}\-]+|\s+|[^\s\w{T.LETTERS}]+|\d+|."
+_SPACE = r"\s\x{0b}\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}"
+_TOKEN = rf"(?s)[{T.LETTERS}\-]+|[{_SPACE}]+|[^{_SPACE}\p{{L}}\p{{M}}\p{{Nd}}\p{{Nl}}\p{{Pc}}]+|\p{{Nd}}+|."
 
 
 def _n(pattern: str) -> str:
@@ -114,6 +115,16 @@ _HIT = f", w AS (SELECT book_id, page_number, unnest(regexp_extract_all(page_con
 _LABEL = "coalesce(" + ", ".join(f"CASE WHEN x{i} <> '' AND length(x{i}) <= 20 AND (regexp_matches(regexp_replace(x{i}, '[\\-._]', '', 'g'), '^[0-9]{{1,10}}$') OR regexp_matches(regexp_replace(x{i}, '[\\-._]', '', 'g'), '(?i)^[ivxlcdm]{{1,15}}$') OR regexp_matches(regexp_replace(x{i}, '[\\-._]', '', 'g'), '^[0-9A-Za-z]{{1,10}}$')) THEN x{i} END" for i in range(6)) + ", '')"
 _XS = ", ".join(f"replace(coalesce(regexp_extract(footer, '(?i){s}', 1), ''), ' ', '') AS x{i}" for i, s in enumerate(L.SHAPES))
 
+_PAGE_WORDS = f", pw AS MATERIALIZED (SELECT content_id, word FROM (SELECT content_id, unnest(regexp_extract_all({_map('page_content')}, '{_TOKEN}')) AS word FROM c_content) WHERE regexp_matches(word, '^[{T.LETTERS}\\-]+$'))"
+_JUDGED = (
+    f", dw AS MATERIALIZED (SELECT word, count(*) AS n, CAST(len(regexp_extract_all(lower(word), 'ñ')) AS INTEGER) AS qn, CAST(len(regexp_extract_all(lower(word), 'å')) AS INTEGER) AS qa, {_fixed('word')} AS corrected FROM pw GROUP BY word)"
+    + ", cw AS (SELECT *, CASE WHEN qn > 0 AND qa > 0 THEN 'BOTH' WHEN qn > 1 THEN 'MULTIPLE_N' WHEN qa > 1 THEN 'MULTIPLE_A' WHEN qn = 1 THEN 'SINGLE_N' WHEN qa = 1 THEN 'SINGLE_A' ELSE 'CLEAN' END AS class, contains(regexp_replace(lower(corrected), 'jñ|ñc|ñj', '', 'g'), 'ñ') OR contains(lower(corrected), 'å') AS error,"
+    + f" CAST(CASE WHEN abs(length(corrected) - length(word)) > 2 THEN 1 ELSE 0 END + len(regexp_extract_all(regexp_replace(lower(corrected), '[{T.IAST}]', '', 'g'), '\\p{{L}}')) AS INTEGER) AS warnings FROM dw)"
+    + ", jw AS MATERIALIZED (SELECT *, warnings > 0 AS warning, round(CASE class WHEN 'CLEAN' THEN 1.0::DOUBLE WHEN 'SINGLE_N' THEN 0.99 WHEN 'SINGLE_A' THEN 0.99 ELSE 0.95 END * CASE WHEN error THEN 0.7::DOUBLE ELSE 1.0 END * CASE WHEN warnings > 0 THEN 0.9::DOUBLE ELSE 1.0 END, 6) AS confidence FROM cw)"
+)
+_TAGGED = "CASE WHEN word <> corrected THEN concat_ws(' ', " + ", ".join(f"CASE WHEN contains(lower(word), '{a}') AND contains(lower(corrected), '{b}') THEN '{a}→{b}' END" for a, b in T.TAGS) + ") ELSE '' END AS tags"
+_CLASSES = ", ".join(f"count(*) FILTER (WHERE class = '{k}') AS {k.lower()}" for k in ("CLEAN", "SINGLE_N", "SINGLE_A", "BOTH", "MULTIPLE_N", "MULTIPLE_A"))
+
 ORACLE = {
     k: BASE + v
     for k, v in {
@@ -122,6 +133,8 @@ ORACLE = {
         "word_rules": f"SELECT word_id, {_rules('lower(raw_word)')} AS fixed FROM c_bank",
         "fix_pages": f"SELECT content_id, CASE WHEN page_content = '' THEN '' ELSE array_to_string([{_fixed('t')} FOR t IN regexp_extract_all({_map('page_content')}, '{_TOKEN}')], '') END AS text FROM c_content",
         "word_bank_update": f"SELECT word_id, v AS new_value FROM (SELECT word_id, program_fixed, {_fixed('m')} AS v FROM (SELECT word_id, program_fixed, {_map('raw_word')} AS m FROM c_bank)) WHERE v IS DISTINCT FROM program_fixed",
+        "word_corrections": _PAGE_WORDS + _JUDGED + f" SELECT word, n, class, corrected, {_TAGGED}, error, warning, warnings, confidence, confidence < 0.90 AS review FROM jw",
+        "page_fix_stats": _PAGE_WORDS + _JUDGED + f" SELECT content_id, count(*) AS words, count(*) FILTER (WHERE pw.word <> corrected) AS corrected, {_CLASSES}, count(*) FILTER (WHERE confidence < 0.90) AS review, count(*) FILTER (WHERE error) AS errors FROM pw JOIN jw ON jw.word = pw.word GROUP BY content_id",
         "word_bank_coverage": "SELECT count(*) AS total, count(raw_word) AS raw, count(program_fixed) AS program, count(ai_fixed) AS ai FROM c_bank",
         "range_parse": "SELECT book_id, toc_pages, CASE WHEN lo > 0 AND hi >= lo THEN lo END AS lo, CASE WHEN lo > 0 AND hi >= lo THEN hi END AS hi FROM (SELECT book_id, toc_pages, try_cast(regexp_extract(toc_pages, '([0-9]+)\\s*,', 1) AS INTEGER) AS lo, CAST(try_cast(regexp_extract(toc_pages, ',\\s*([0-9]+)', 1) AS INTEGER) - CASE WHEN toc_pages LIKE '%)' THEN 1 ELSE 0 END AS INTEGER) AS hi FROM c_book)",
         "range_format": "SELECT book_id, concat('[', book_id, ',', book_id + 6, ')') AS formatted FROM c_book",
@@ -131,7 +144,7 @@ ORACLE = {
         "glossary_term_errors": _ERR,
         "description_endings": "SELECT CASE WHEN description IS NULL OR trim(description, ' ') = '' THEN 'empty' WHEN l = '.' THEN 'full stop' WHEN l IN ('?', '!') THEN 'other mark' WHEN l IN (')', ']') THEN 'bracket' WHEN l IN (',', ';', ':') THEN 'open mark' WHEN regexp_matches(l, '[0-9]') THEN 'digit' ELSE 'letter' END AS ending, count(*) AS n FROM (SELECT description, right(rtrim(description, ' '), 1) AS l FROM c_glossary) GROUP BY 1",
         "glyph_words": _HIT + ", p AS (SELECT DISTINCT book_id, glyph, page_number FROM h), p2 AS (SELECT book_id, glyph, string_agg(CAST(page_number AS VARCHAR), ',' ORDER BY page_number) AS pages FROM (SELECT * FROM p QUALIFY row_number() OVER (PARTITION BY book_id, glyph ORDER BY page_number) <= 20) GROUP BY ALL), f AS (SELECT book_id, glyph, word, min((page_number, pos)) AS a FROM h GROUP BY ALL), f2 AS (SELECT book_id, glyph, string_agg(word, ',' ORDER BY k) AS words FROM (SELECT *, row_number() OVER (PARTITION BY book_id, glyph ORDER BY a, word) AS k FROM f) WHERE k <= 50 GROUP BY ALL) SELECT h.book_id, h.glyph, count(*) AS n, any_value(p2.pages) AS pages, any_value(f2.words) AS words FROM h JOIN p2 ON p2.book_id = h.book_id AND p2.glyph = h.glyph JOIN f2 ON f2.book_id = h.book_id AND f2.glyph = h.glyph GROUP BY h.book_id, h.glyph",
-        "glyph_summary": "SELECT font_name, glyph, unicode_codepoint, CAST(sum(occurrence_count) AS BIGINT) AS total, count(DISTINCT book_id) AS books, string_agg(DISTINCT CAST(book_id AS VARCHAR), ',' ORDER BY lpad(CAST(book_id AS VARCHAR), 9, '0')) AS book_ids, CAST(len(list_distinct(flatten(list(coalesce(sample_words, []))))) AS INTEGER) AS n_words, md5(array_to_string(list_sort(list_distinct(flatten(list(coalesce(sample_words, []))))), '|')) AS words_hash FROM c_glyph GROUP BY 1, 2, 3".replace("string_agg(DISTINCT CAST(book_id AS VARCHAR), ',' ORDER BY lpad(CAST(book_id AS VARCHAR), 9, '0'))", "array_to_string(list_sort(list_distinct(list(book_id))), ',')"),
+        "glyph_summary": ", k AS (SELECT DISTINCT font_name, glyph, unicode_codepoint, unnest(sample_words) AS w FROM c_glyph), n AS (SELECT font_name, glyph, unicode_codepoint, count(*) AS n_words, array_to_string(list_sort(list(w)), '|') AS words FROM k WHERE w IS NOT NULL GROUP BY ALL) SELECT g.font_name, g.glyph, g.unicode_codepoint, CAST(sum(occurrence_count) AS BIGINT) AS total, count(DISTINCT book_id) AS books, coalesce(array_to_string(list_sort(list_distinct(list(book_id))), ','), '') AS book_ids, coalesce(any_value(n_words), 0) AS n_words, coalesce(any_value(words), '') AS words FROM c_glyph g LEFT JOIN n ON n.font_name IS NOT DISTINCT FROM g.font_name AND n.glyph IS NOT DISTINCT FROM g.glyph AND n.unicode_codepoint IS NOT DISTINCT FROM g.unicode_codepoint GROUP BY 1, 2, 3",
         "glyph_top5": "SELECT glyph, CAST(sum(occurrence_count) AS BIGINT) AS total FROM c_glyph GROUP BY glyph ORDER BY total DESC NULLS LAST, glyph LIMIT 5",
         "char_glyphs": f"SELECT book_id, char, count(*) AS n, count(DISTINCT page_number) AS pages, min(page_number) AS first_page, concat('U+', lpad(printf('%X', unicode(char)), 4, '0')) AS codepoint FROM (SELECT book_id, page_number, unnest(regexp_extract_all(page_content, '[^{ALLOWED}]')) AS char FROM c_content) GROUP BY book_id, char",
         "ambiguous_words": f", w AS (SELECT book_id, unnest(regexp_extract_all(page_content, '{_W}')) AS whole FROM c_content), v AS (SELECT book_id, unnest(CASE WHEN len([p FOR p IN string_split(whole, '-') IF regexp_matches(p, '[åñÅÑ]')]) > 0 THEN [p FOR p IN string_split(whole, '-') IF regexp_matches(p, '[åñÅÑ]')] ELSE [whole] END) AS word FROM w WHERE regexp_matches(whole, '[åñÅÑ]')), x AS (SELECT book_id, word, unnest(list_distinct(regexp_extract_all(lower(word), '[åñ]'))) AS diacritic FROM v), n AS MATERIALIZED (SELECT diacritic, word, count(*) AS n, array_to_string(list_sort(list_distinct(list(book_id))), ',') AS books FROM x GROUP BY ALL) SELECT * FROM n a WHERE NOT EXISTS (SELECT 1 FROM n b WHERE b.diacritic = a.diacritic AND b.word <> a.word AND length(b.word) >= 3 AND contains(a.word, b.word))",

@@ -105,8 +105,8 @@ def validated(before: Column, after: Column, confidence: Column) -> dict[str, Co
     long = F.when(F.abs(F.length(after) - F.length(before)) > 2, 1).otherwise(0)
     foreign = F.regexp_count(F.regexp_replace(low, rf"[{IAST}]", ""), F.lit(r"\p{L}"))
     warning = long + foreign > 0
-    c = confidence * F.when(error, 0.7).otherwise(1.0) * F.when(warning, 0.9).otherwise(1.0)
-    return {"error": error, "warning": warning, "confidence": F.round(c, 6), "review": F.round(c, 6) < 0.90, "warnings": (long + foreign).cast("int")}
+    c = F.round(confidence * F.when(error, 0.7).otherwise(1.0) * F.when(warning, 0.9).otherwise(1.0), 6)
+    return {"error": error, "warning": warning, "confidence": c, "review": c < 0.90, "warnings": (long + foreign).cast("int")}
 
 
 def fix_text(text: Column) -> Column:
@@ -137,20 +137,23 @@ def page_statistics(pages: DataFrame, key: str, text: str) -> DataFrame:
 
     All is computed on the page's own words: nothing is shuffled but a row of counts, and none where
     keys don't repeat. Words without å and ñ need no correction, have no errors and no review."""
-    tokens = F.regexp_extract_all(map_glyphs(F.col(text)), F.lit("(?Us)" + TOKEN), F.lit(0))
-    words = F.filter(tokens, lambda t: t.rlike(rf"^[{LETTERS}\-]+$"))
-    p = pages.select(key, words.alias("_w")).select(key, F.size("_w").cast("long").alias("words"), F.filter("_w", lambda t: t.rlike("[ñÑåÅ]")).alias("_d"))
+    # Of the tokens only words are kept as they are read; the others come as ''.
+    tokens = F.regexp_extract_all(map_glyphs(F.col(text)), F.lit(rf"(?Us)([{LETTERS}\-]+)|" + TOKEN.split("|", 1)[1]), F.lit(1))
+    p = pages.select(key, F.filter(tokens, lambda t: t != "").alias("_w"))
+    p = p.select(key, F.size("_w").cast("long").alias("words"), F.filter("_w", lambda t: t.contains("ñ") | t.contains("å") | t.contains("Ñ") | t.contains("Å")).alias("_d"))
+
+    # What several measures need of a word is worked out once, by a transform of its own.
+    fixed = lambda w: F.struct(w.alias("w"), word_class(w).alias("c"), fix_word(w).alias("after"))
 
-    def judged(w: Column) -> Column:
-        c, after = word_class(w), fix_word(w)
-        v = validated(w, after, F.when(c.startswith("SINGLE"), 0.99).otherwise(0.95))
-        return F.struct(c.alias("c"), (w != after).alias("changed"), v["review"].alias("review"), v["error"].alias("error"))
+    def judged(x: Column) -> Column:
+        v = validated(x["w"], x["after"], F.when(x["c"].startswith("SINGLE"), 0.99).otherwise(0.95))
+        return F.struct(x["c"].alias("c"), (x["w"] != x["after"]).alias("changed"), v["confidence"].alias("confidence"), v["error"].alias("error"))
 
-    p = p.where("words > 0").select(key, "words", F.transform("_d", judged).alias("_j"))
+    p = p.where("words > 0").select(key, "words", F.transform(F.transform("_d", fixed), judged).alias("_j"))
     n = lambda f: F.size(F.filter("_j", f)).cast("long")
     of = lambda kind: n(lambda x: x["c"] == kind).alias(kind.lower())
     p = p.select(
         key, "words", n(lambda x: x["changed"]).alias("corrected"), (F.col("words") - F.size("_j")).cast("long").alias("clean"),
-        *[of(k) for k in ("SINGLE_N", "SINGLE_A", "BOTH", "MULTIPLE_N", "MULTIPLE_A")], n(lambda x: x["review"]).alias("review"), n(lambda x: x["error"]).alias("errors"),
+        *[of(k) for k in ("SINGLE_N", "SINGLE_A", "BOTH", "MULTIPLE_N", "MULTIPLE_A")], n(lambda x: x["confidence"] < 0.90).alias("review"), n(lambda x: x["error"]).alias("errors"),
     )
     return p.groupBy(key).agg(*[F.sum(c).alias(c) for c in p.columns if c != key])

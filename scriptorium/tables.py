@@ -71,7 +71,13 @@ def current(spark: SparkSession, sf_dir: str, name: str, columns: Sequence[str])
         return latest(df, list(keys), recency(name), list(columns))
     place = [F.col("_metadata.file_path").alias("_file"), F.col("_metadata.row_index").alias("_row")]
     old = superseded(df.select(*keys, ts, *place), list(keys), recency(name))
-    return df.select(*columns, *place).join(old, ["_file", "_row"], "left_anti").select(*columns)
+    return spread(df.select(*columns, *place)).join(old, ["_file", "_row"], "left_anti").select(*columns)
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """The rows over all cores where the files are fewer than those, as small tables are."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
 
 
 def current_sql(name: str) -> str:

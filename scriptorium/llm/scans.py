@@ -12,6 +12,7 @@ from __future__ import annotations
 
 import functools
 import re
+import unicodedata
 from collections import Counter
 
 import numpy as np
@@ -26,8 +27,8 @@ from .trees import Boosted
 
 SAMPLE = 4_000  # rows of each weak label used for training, at most
 KNOWN = 200_000  # most frequent word forms that the second pass need not look up
-STRONG = 12  # occurrences from which a word can be a correction
 RATIO = 8.0  # so many times as frequent as the misread form must the correction be
+OFTEN, SELDOM = 0.03, 0.01  # rates from which an operation is a confusion, and below which it is none
 SALTS = 4
 FLUSH = 400_000
 
@@ -49,7 +50,6 @@ _BACK = re.compile(rf"(?<=\S)(?:\s{{2,}}|\s+[|·•–—]\s*|\s+)[\[(]?(?:page
 _WIDE_FRONT = re.compile(rf"^\s*[\[(]?{_NUM}[\])]?(?:\s{{2,}}|\s*[|·•–—]\s+)\S", re.I)
 _WIDE_BACK = re.compile(rf"\S(?:\s{{2,}}|\s+[|·•–—]\s*)[\[(]?(?:page )?{_NUM}[\])]?\s*$", re.I)
 _OPENING = re.compile(r"^\s*(?:chapter|canto|part|book|section|lesson|kapitel|cap[ií]tulo|chapitre)\b", re.I)
-_LONG = 160  # a longer line is no furniture
 
 
 def bare(token: str) -> str:
@@ -85,7 +85,7 @@ def _edge(lines: list[str]) -> list[tuple[int, str]]:
 @functools.lru_cache(50_000)
 def furniture(line: str) -> tuple[str, bool, bool]:
     """The line without its page number, whether it is a page number alone, whether it has one."""
-    if "||" in line or len(line) > _LONG or not (line[-1:].isalnum() or line[:1].isalnum() or len(line) < 24):
+    if "||" in line or not (line[-1:].isalnum() or line[:1].isalnum() or len(line) < 24):
         return line, False, False
     if _ALONE.match(line):
         return "", True, True
@@ -126,7 +126,7 @@ def forms_of(text: str) -> set[str]:
 def scan_pages(rows: DataFrame) -> DataFrame:
     """rows: id, ts, book, page, text. Flat rows of several kinds, in columns a, b, c and others:
 
-    ``edge`` (a line at the top or bottom of a page), ``cut`` (a: word, b: hyphen, c: rest),
+    ``edge`` (a line at the top or bottom of a page), ``inner`` (one from within), ``cut`` (a: word, b: hyphen, c: rest),
     ``tail`` (a word cut at the end of the page), ``head`` (c: first word of a line at the top),
     ``title`` (c: form of the heading of an opening page) and ``word`` (a: word form, n: count)."""
 
@@ -141,7 +141,7 @@ def scan_pages(rows: DataFrame) -> DataFrame:
                 lines = [y for x in text.split("\n") if (y := x.strip())]
                 # The body's last line, without furniture below it.
                 low = len(lines)
-                while low > 1 and len(lines) - low < 2 and len(x := lines[low - 1]) <= _LONG and x[-1] not in _ENDS and len(x.split()) <= 10 and (x[0].isupper() or furniture(x)[1]):
+                while low > 1 and len(lines) - low < 2 and (x := lines[low - 1])[-1] not in _ENDS and len(x.split()) <= 10 and (x[0].isupper() or furniture(x)[1]):
                     low -= 1
                 if low == len(lines) and low > 1 and furniture(lines[-1])[1]:
                     low -= 1
@@ -156,15 +156,17 @@ def scan_pages(rows: DataFrame) -> DataFrame:
                 out += [(*key, "head", None, None, x.split(None, 1)[0], *_NONE) for x in lines[:4]]
                 opening = bool(_OPENING.match(lines[0])) or (len(lines) > 1 and bool(_OPENING.match(lines[1])) and furniture(lines[0])[1])
                 most = max(map(len, lines))
-                for pos, x in _edge(lines):
-                    if len(x) > _LONG:
-                        continue
+                # A line from within the page shows what lines look like that are no furniture.
+                inner = [(i % 4, lines[2 + i * 31 % (len(lines) - 4)])] if len(lines) > 6 else []
+                for kind, (pos, x) in [*(("edge", e) for e in _edge(lines)), *(("inner", e) for e in inner)]:
                     core, alone, has = furniture(x)
                     ends, lower = x[-1] in _STOPS, x[0].islower()
-                    skel = "" if (ends or lower) and not has else skeleton(core)
+                    body = (ends or lower) and not has
+                    if kind == "inner" and (body or alone):
+                        continue
                     w = [v for v in core.split() if v[0].isalpha()]
                     titled, n, up = sum(v[0].isupper() for v in w) / max(1, len(w)), len(w), core.isupper()
-                    out.append((*key, "edge", x, None, skel, pos, alone, has, titled, up, ends, len(x) / most, lower, n, opening))
+                    out.append((*key, kind, None if body else x, None, "" if body or kind == "inner" else skeleton(core), pos, alone, has, titled, up, ends, len(x) / most, lower, n, opening))
                 if opening:
                     rest = [x for x in lines[:5] if not _OPENING.match(x) and not furniture(x)[1]]
                     if rest:
@@ -208,10 +210,14 @@ def vocabulary(scanned: DataFrame) -> DataFrame:
 
 
 def _grams(word: str = "word"):
-    w = F.concat(F.lit("^"), F.col(word), F.lit("$"))
-    short = F.length(word) <= 4
-    padded = F.when(short, F.concat(F.lit("^"), w, F.lit("$"))).otherwise(w)
-    return F.transform(F.sequence(F.lit(1), F.length(padded) - 2), lambda i: F.substr(padded, i, F.lit(3)))
+    """Trigrams of a word with where they stand: those of its first half counted from the beginning,
+    the others from the end. One confusion leaves those of the other half as they are."""
+    padded = F.concat(F.lit("^^"), F.col(word), F.lit("$$"))
+    last = F.length(padded) - 2
+    place = lambda i: F.when(i * 2 <= last + 1, i).otherwise(i - last - 1)
+    # Both ends are met by two letters; one alone is met in short words only.
+    inner = F.when(F.length(word) <= 4, F.sequence(F.lit(1), last)).otherwise(F.sequence(F.lit(2), last - 1))
+    return F.transform(inner, lambda i: F.concat(F.substr(padded, i, F.lit(3)), place(i).cast("string")))
 
 
 def edit(a: str, b: str) -> tuple[str, str]:
@@ -238,24 +244,43 @@ def _edits(a: str, b: str) -> list[tuple[str, str]] | None:
     return None
 
 
-_RANK = ["ratio", "n", "vn", "length", "support", "odd", "edits", "plain"]
+_RANK = ["ratio", "ln", "lv", "length", "support", "odd", "edits", "plain", "first", "last", "marks", "beyond"]
+# Latin letters with marks and those without.
+_MARKED = {c: unicodedata.normalize("NFD", c)[0] for lo, hi in ((0xE0, 0x250), (0x1E00, 0x1F00)) for c in map(chr, range(lo, hi)) if unicodedata.normalize("NFD", c) != c}
+
+
+def operations(pairs: DataFrame, strong: DataFrame) -> DataFrame:
+    """op, half, rate, seen: how often words that have the right shape of an operation also have a form
+    misread by it, among the words of each half of the vocabulary.
+
+    pairs: v, op, edits. strong: v. A shape that scanners confuse is confused in any word that has it, so
+    its rate is high in both halves; two words that are alike by chance are no sample of others."""
+    half = F.pmod(F.xxhash64("v"), F.lit(2)).alias("half")
+    single = pairs.where("edits = 1").select("v", "op", F.substring_index("op", ">", -1).alias("shape"), half).distinct()
+    parts = lambda n: F.when(F.length("v") >= n, F.transform(F.sequence(F.lit(1), F.length("v") - (n - 1)), lambda i: F.substr("v", i, F.lit(n)))).otherwise(F.array().cast("array<string>"))
+    have = strong.select("v", half, F.explode(F.array_distinct(F.concat(parts(1), parts(2)))).alias("shape")).groupBy("shape", "half").agg(F.count("*").alias("have"))
+    n = single.groupBy("op", "shape", "half").agg(F.count("*").alias("seen"))
+    return n.join(have, ["shape", "half"]).select("op", "half", (F.col("seen") / F.col("have")).alias("rate"), "seen")
 
 
 def misread(vocab: DataFrame, *, sample: int = SAMPLE) -> DataFrame:
     """word, correction, p of all words judged to be misread forms of others.
 
-    vocab: word, n (different words). Trigrams of words are joined with those of words that are
-    frequent enough to be a correction; a pair must share half of its trigrams but those that one
-    confusion spoils, differ by one or two shapes and in frequency. No word is left out for its
-    trigrams being frequent."""
-    v = materialise(vocab.where("length(word) between 3 and 40"))
-    strong = v.where((F.col("n") >= STRONG) & F.col("word").rlike(r"^\p{L}[^\d!|]*$")).select(F.col("word").alias("v"), F.col("n").alias("vn"))
-    # A word as frequent as every correction needs none: the most frequent word bounds the weak side.
+    vocab: word, n (different words). Trigrams of words, with their places, are joined with those of
+    words RATIO times as frequent; a pair must differ by one or two shapes. No word is left out for its
+    trigrams being frequent. The trees rank the pairs; they are trained on what the other half of the
+    vocabulary says about a pair's operation: pairs of operations that are frequent there are misread
+    words, as are words with a digit, a bar or an exclamation mark in them; pairs of rare operations
+    aren't, and neither are other spellings: words that differ in marks alone
+    or have signs beyond ASCII where the correction has others."""
+    v = materialise(vocab.where("length(word) >= 2"))
+    # A correction is RATIO times as frequent as a word that occurs once, at least.
+    strong = v.where((F.col("n") >= RATIO) & (F.length("word") >= 3) & F.col("word").rlike(r"^\p{L}[^\d!|]*$")).select(F.col("word").alias("v"), F.col("n").alias("vn"))
     weak = v.where(F.col("word").rlike(r"\p{L}")).select("word", "n", F.explode(F.array_distinct(_grams())).alias("g"), F.length("word").alias("len"))
     post = strong.select("v", "vn", F.explode(F.array_distinct(_grams("v"))).alias("g"), F.length("v").alias("vlen"))
-    # Rare words have few partners as frequent as RATIO times: compared inside the join.
     met = weak.join(post, "g").where((F.abs(F.col("len") - F.col("vlen")) <= 2) & (F.col("vn") >= RATIO * F.col("n"))).groupBy("word", "v").agg(F.count("*").alias("shared"), F.first("n").alias("n"), F.first("vn").alias("vn"), F.first("len").alias("len"))
-    met = met.where(F.col("shared") >= F.greatest(F.lit(1), F.col("len") - 5 - F.floor(F.col("len") / 4)))
+    # A confusion leaves the trigrams of the other half, two leave those of both ends.
+    met = met.where(F.col("shared") >= 1 + F.floor(F.col("len") / 8))
 
     def diffs(batches):
         for pdf in batches:
@@ -267,18 +292,24 @@ def misread(vocab: DataFrame, *, sample: int = SAMPLE) -> DataFrame:
                 yield pdf[["word", "v", "n", "vn"]].assign(op=["+".join(f"{p}>{q}" for p, q in x) for x in e], edits=[len(x) for x in e], listed=[all(t in CONFUSED for t in x) for x in e])
 
     pairs = materialise(met.mapInPandas(diffs, "word string, v string, n long, vn long, op string, edits int, listed boolean"))
+    # One row for each operation.
     ops = pairs.groupBy("op").agg(F.count_distinct("v").alias("support"))
-    f = pairs.join(ops, "op").select(
-        "word", "v", "listed", "edits",
+    told = operations(pairs, strong).select("op", "rate", "seen", (1 - F.col("half")).alias("half"))
+    number = lambda c: F.col(c).cast("double").alias(c)
+    plain = lambda c: F.translate(c, "".join(_MARKED), "".join(_MARKED.values()))
+    f = pairs.withColumn("half", F.pmod(F.xxhash64("v"), F.lit(2))).join(ops, "op").join(told, ["op", "half"], "left").select(
+        "word", "v", F.col("rate").alias("told"), "seen",
         F.log10(F.col("vn") / F.col("n")).alias("ratio"), F.log10("n").alias("ln"), F.log10("vn").alias("lv"), F.length("word").cast("double").alias("length"),
-        F.log10("support").alias("support"), F.col("word").rlike(r"\w*[0-9!|]\w*").cast("double").alias("odd"), F.col("word").rlike("^[a-z]+$").cast("double").alias("plain"),
+        F.log10("support").alias("support"), F.col("word").rlike(r"\w*[0-9!|]\w*").cast("double").alias("odd"), number("edits"), F.col("word").rlike("^[a-z]+$").cast("double").alias("plain"), "listed",
+        (F.substring("word", 1, 1) == F.substring("v", 1, 1)).cast("double").alias("first"), (F.right("word", F.lit(1)) == F.right("v", F.lit(1))).cast("double").alias("last"),
+        (plain(F.col("word")) == plain(F.col("v"))).cast("double").alias("marks"), F.regexp_replace("op", ">[^+]*", "").rlike(r"[^\x00-\x7f]").cast("double").alias("beyond"),
     )
     f = materialise(f)
     x, y = [], []
-    cols = ["ratio", "ln", "lv", "length", "support", "odd", "edits", "plain"]
-    sure = F.when(F.col("listed") & (F.col("length") >= 5) & (F.col("ratio") >= 1.2), 1).when(~F.col("listed"), 0)
+    seldom = (F.col("edits") == 1) & (F.col("odd") == 0) & (F.coalesce("told", F.lit(0.0)) < SELDOM)
+    sure = F.when((F.col("marks") == 1) | (F.col("beyond") == 1) | seldom, 0).when(((F.col("told") >= OFTEN) & (F.col("seen") >= 3)) | ((F.col("odd") == 1) & (F.col("edits") == 1)), 1)
     for label in (0, 1):
-        got = f.where(sure == label).orderBy(F.xxhash64("word", "v"), "word", "v").limit(sample).select(*cols).toPandas()
+        got = f.where(sure == label).orderBy(F.xxhash64("word", "v"), "word", "v").limit(sample).select(*_RANK).toPandas()
         x.append(got.to_numpy(float))
         y.append(np.full(len(got), float(label)))
     model = Boosted(np.concatenate(x), np.concatenate(y)) if len(x[0]) > 20 and len(x[1]) > 20 else None
@@ -286,12 +317,12 @@ def misread(vocab: DataFrame, *, sample: int = SAMPLE) -> DataFrame:
     def rank(batches):
         for pdf in batches:
             if len(pdf):
-                p = model.predict(pdf[cols].to_numpy(float)) if model is not None else pdf["listed"].astype(float)
-                # A confusion that isn't listed needs overwhelming support.
-                yield pdf[["word", "v"]].assign(p=np.where(pdf["listed"], np.maximum(p, 0.5 * (pdf["ratio"] > 1.5)), p * 0.6))
+                # Too few words to learn from: the shapes that are known to be confused.
+                yield pdf[["word", "v", "support"]].assign(p=model.predict(pdf[_RANK].to_numpy(float)) if model is not None else pdf["listed"].astype(float))
 
-    scored = f.mapInPandas(rank, "word string, v string, p double")
-    best = W.partitionBy("word").orderBy(F.desc("p"), "v")
+    scored = f.mapInPandas(rank, "word string, v string, support double, p double")
+    # Of corrections that are as probable the one whose operation is known from more words.
+    best = W.partitionBy("word").orderBy(F.desc(F.round("p", 1)), F.desc("support"), "v")
     return scored.withColumn("k", F.row_number().over(best)).where("k = 1 and p >= 0.5").select("word", F.col("v").alias("correction"), "p")
 
 
@@ -304,49 +335,65 @@ def _counts(rows: DataFrame, words: DataFrame, forms: dict[str, Column]) -> Data
 
 
 def _cut_features(cuts: DataFrame, words: DataFrame) -> DataFrame:
-    """Counts of the joined, hyphenated and single words of a cut."""
+    """Counts of the joined, hyphenated and single words of a cut; r is '' where it isn't known."""
     l, r = F.col("l"), F.col("r")
-    return _counts(cuts, words, {"joined": F.concat(l, r), "whole": F.concat(l, F.lit("-"), r), "l": l, "r": r})
+    known = lambda c: F.when(r != "", c)
+    return _counts(cuts, words, {"joined": known(F.concat(l, r)), "whole": known(F.concat(l, F.lit("-"), r)), "l": l, "r": known(r)})
 
 
 def hyphens(cuts: DataFrame, words: DataFrame, *, sample: int = SAMPLE) -> DataFrame:
-    """cuts: l, r, sign (different cuts). Adds p: that the hyphen was inserted.
+    """cuts: l, r, sign, last (different cuts; last: at the end of a page, where r is only a candidate or
+    ''). Adds p: that the hyphen was inserted.
 
     Signs that no compound is written with were inserted; whole compounds of the vocabulary, cut at
-    their own hyphen, were not. Boosted trees learn from both what the counts of the parts say."""
+    their own hyphen, were not. Boosted trees learn from both what the counts of the parts say, also
+    where the second part isn't known, and judge the cuts at plain hyphens."""
     c = materialise(_cut_features(cuts, words))
     own = words.where(F.col("word").rlike(r"^[^\W\d_]{2,}-[^\W\d_]{2,}$") & (F.col("n") >= 2)).orderBy(F.xxhash64("word"), "word").limit(sample).select(F.split("word", "-").alias("s"), F.lit("-").alias("sign"), "n")
     no = _cut_features(own.select(F.col("s")[0].alias("l"), F.col("s")[1].alias("r"), "sign"), words)
-    yes = c.where("sign <> '-'").orderBy(F.xxhash64("l", "r"), "l", "r").limit(sample)
+    yes = c.where("sign <> '-' and not last").orderBy(F.xxhash64("l", "r"), "l", "r").limit(sample)
 
-    def x_of(p: pd.DataFrame) -> np.ndarray:
+    def x_of(p: pd.DataFrame, seen: np.ndarray, blind: bool = False) -> np.ndarray:
+        """seen: how many occurrences of the joined word are this cut itself; blind: r isn't known."""
+        known = (p["r"] != "").to_numpy() & (not blind)
         n = np.log1p(p[["n_joined", "n_l", "n_r"]].to_numpy(float))
         # One occurrence of the compound may be this one: whether it is known otherwise.
         h = np.log1p(np.maximum(p["n_whole"].to_numpy(float) - 1, 0))
-        # The joined form of a cut in the text was counted as a word by the scan itself.
-        j = np.log1p(np.maximum(p["n_joined"].to_numpy(float) - 1, 0))
-        return np.column_stack([n[:, 1], n[:, 2], h > 0, j > 0, np.minimum(n[:, 1], n[:, 2]), p["l"].str.len(), p["r"].str.len(), j - h])
+        j = np.log1p(np.maximum(p["n_joined"].to_numpy(float) - seen, 0))
+        on = lambda v: np.where(known, v, -1.0)
+        return np.column_stack([n[:, 1], on(n[:, 2]), on(h > 0), on(j > 0), on(np.minimum(n[:, 1], n[:, 2])), p["l"].str.len(), on(p["r"].str.len()), on(j - h)])
 
     a, b = no.toPandas(), yes.toPandas()
-    model = Boosted(np.concatenate([x_of(a), x_of(b)]), np.r_[np.zeros(len(a)), np.ones(len(b))]) if len(a) > 20 and len(b) > 20 else None
+    model = None
+    if len(a) > 20 and len(b) > 20:
+        # A cut within a page was counted as the joined word by the scan itself.
+        x = [x_of(a, np.zeros(len(a))), x_of(b, np.ones(len(b))), x_of(a, np.zeros(len(a)), True), x_of(b, np.ones(len(b)), True)]
+        model = Boosted(np.concatenate(x), np.concatenate([np.full(len(v), k) for v, k in zip(x, (0.0, 1.0, 0.0, 1.0))]))
 
     def run(batches):
         for pdf in batches:
             if len(pdf):
-                known = (pdf["n_joined"] > 1) & (pdf["n_joined"] > pdf["n_whole"])
-                p = model.predict(x_of(pdf)) if model is not None else (known | (pdf["n_l"] < 3) | (pdf["n_r"] < 3)).astype(float)
-                yield pdf[["l", "r", "sign"]].assign(p=np.where(pdf["sign"] != "-", 1.0, np.where(known, np.maximum(p, 0.9), p)))
+                if model is not None:
+                    p = model.predict(x_of(pdf, np.where(pdf["last"], 0.0, 1.0)))
+                else:
+                    p = ((pdf["n_joined"] > np.where(pdf["last"], 0, 1)) | (pdf["n_l"] < 3) | (pdf["n_r"] < 3)).astype(float)
+                # Another sign is the label itself.
+                yield pdf[["l", "r", "sign", "last", "n_joined"]].assign(p=np.where(pdf["sign"] != "-", 1.0, p))
 
-    return c.mapInPandas(run, "l string, r string, sign string, p double")
+    return c.mapInPandas(run, "l string, r string, sign string, last boolean, n_joined long, p double")
 
 
-_LINE = ["pages", "heading", "titled", "up", "end", "width", "low", "long", "num", "bottom", "second"]
+_LINE = ["pages", "heading", "titled", "up", "end", "width", "low", "long", "num", "bottom", "second", "opens"]
 
 
-def headers(edges: DataFrame, titles: DataFrame, *, sample: int = SAMPLE) -> DataFrame:
-    """edges: id, ts, book and the fields of an edge line; titles: book, skel of headings.
-    Adds p: that the line is a running title. The line and what the pages of its book have in the
-    same place make the pair that is judged."""
+def headers(edges: DataFrame, titles: DataFrame, inner: DataFrame, *, sample: int = SAMPLE) -> DataFrame:
+    """edges: id, ts, book and the fields of an edge line; titles: book, skel of headings; inner: the
+    same of lines from within pages. Adds p: that the line is a running title. The line and what the
+    pages of its book have in the same place make the pair that is judged.
+
+    Boosted trees learn from lines that several pages have, and from lines of the body, lines within
+    pages and headings of opening pages. Half of the rows hide on how many pages the line stands, so
+    that they learn what a title looks like that stands on one."""
     text = edges.where("not alone")
     # Lines that end a sentence or go on with one are of the body unless they carry a number.
     body = "(ends or lower) and not has"
@@ -359,34 +406,36 @@ def headers(edges: DataFrame, titles: DataFrame, *, sample: int = SAMPLE) -> Dat
     spread = stats.where("pages > 1 or heads > 0").withColumn("s", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
     t = text.withColumn("s0", F.pmod(F.xxhash64("id"), F.lit(SALTS)).cast("int")).join(spread, F.expr("book <=> b and skel = k and s0 = s"), "left")
     t = t.withColumn("pages", F.coalesce("pages", F.lit(1).cast("long"))).withColumn("heads", F.coalesce("heads", F.lit(0).cast("long")))
-    alone = rest.orderBy(F.xxhash64("id", "pos"), "id", "pos").limit(sample).withColumn("pages", F.lit(1).cast("long")).withColumn("heads", F.lit(0).cast("long"))
+    one, none = F.lit(1).cast("long"), F.lit(0).cast("long")
+    some = lambda rows: rows.orderBy(F.xxhash64("id", "pos"), "id", "pos").limit(sample)
     boolean = lambda c: F.col(c).cast("double")
+    opens = ((F.col("opening") > 0) & (F.col("pos") < 2) & ~F.col("has")).cast("double")
     shape = [
-        "id", "ts", "pos", "line", "opening", "has",
+        "id", "ts", "pos", "line", "has",
         F.log1p(F.col("pages").cast("double")).alias("pages"), (F.col("heads") > 0).cast("double").alias("heading"), F.col("title").alias("titled"), boolean("upper").alias("up"), boolean("ends").alias("end"),
-        "width", boolean("lower").alias("low"), F.col("n").cast("double").alias("long"), boolean("has").alias("num"), (F.col("pos") >= 2).cast("double").alias("bottom"), (F.col("pos") % 2).cast("double").alias("second"),
+        "width", boolean("lower").alias("low"), F.col("n").cast("double").alias("long"), boolean("has").alias("num"), (F.col("pos") >= 2).cast("double").alias("bottom"), (F.col("pos") % 2).cast("double").alias("second"), opens.alias("opens"),
     ]
     f = materialise(t.select(*shape))
-    often = f.where((F.col("pages") > 1.5) & (F.col("end") == 0)).orderBy(F.xxhash64("id", "pos"), "id", "pos").limit(sample)
+    within = lambda rows: some(rows).withColumn("pages", one).withColumn("heads", none).select(*shape)
+    kinds = [(1, some(f.where((F.col("pages") > 1.5) & (F.col("opens") == 0)))), (0, within(rest)), (0, within(inner)), (0, some(f.where("opens = 1")))]
     x, y = [], []
-    for label, rows in ((0, alone.select(*shape)), (1, often)):
-        got = rows.select(*_LINE).toPandas()
-        x.append(got.to_numpy(float))
-        y.append(np.full(len(got), float(label)))
-    model = Boosted(np.concatenate(x), np.concatenate(y)) if min(len(x[0]), len(x[1])) > 20 else None
+    for label, rows in kinds:
+        got = rows.select(*_LINE).toPandas().to_numpy(float)
+        hidden = got.copy()
+        hidden[:, 0], hidden[:, 1] = np.log1p(1.0), 0.0
+        x += [got, hidden]
+        y += [np.full(2 * len(got), float(label))]
+    # Lines of each kind weigh as much as those of any other.
+    w = np.concatenate([np.full(len(k), 1 / max(1, len(k))) for k in y])
+    x, y = np.concatenate(x), np.concatenate(y)
+    model = Boosted(x, y, weight=w * len(w) / w.sum()) if min((y == 1).sum(), (y == 0).sum()) > 40 else None
 
     def run(batches):
         for pdf in batches:
             if len(pdf):
-                rule = ((pdf["pages"] > 1) | (pdf["heading"] > 0) | (pdf["num"] > 0)) & (pdf["end"] == 0) & (pdf["low"] == 0)
-                p = model.predict(pdf[_LINE].to_numpy(float)) if model is not None else rule.astype(float)
-                # The heading that opens a chapter stands at the top of its page.
-                # A title may stand on one page only, spelled as no other.
-                alike = (pdf["titled"] >= 0.6) & (pdf["long"] >= 4) & (pdf["end"] == 0) & (pdf["low"] == 0) & (pdf["second"] == 0)
-                p = np.where(alike, np.maximum(p, 0.6), p)
-                p = np.where((pdf["num"] == 0) & ((pdf["end"] == 1) | (pdf["low"] == 1)), 0.0, p)
-                p = np.where((pdf["opening"] > 0) & (pdf["pos"] < 2) & (pdf["num"] == 0), 0.0, p)
-                yield pdf[["id", "ts", "pos", "line", "has"]].assign(p=p)
+                # Too few lines to learn from: titles that repeat or carry a number.
+                rule = ((pdf["pages"] > 1) | (pdf["heading"] > 0) | (pdf["num"] > 0)) & (pdf["end"] == 0) & (pdf["low"] == 0) & (pdf["opens"] == 0)
+                yield pdf[["id", "ts", "pos", "line", "has"]].assign(p=model.predict(pdf[_LINE].to_numpy(float)) if model is not None else rule.astype(float))
 
     return f.mapInPandas(run, "id long, ts long, pos int, line string, has boolean, p double")
 
@@ -415,34 +464,31 @@ class Scans:
 
     def header_lines(self) -> DataFrame:
         """id, ts, pos, line, has of the lines that are running titles."""
-        edges = self.of("edge").select("id", "ts", "book", "pos", F.col("a").alias("line"), F.col("c").alias("skel"), *[c for c in _EDGE if c != "pos"])
+        lines = lambda kind: self.of(kind).select("id", "ts", "book", "pos", F.col("a").alias("line"), F.col("c").alias("skel"), *[c for c in _EDGE if c not in ("pos", "opening")], F.col("opening").cast("int").alias("opening"))
         titles = self.of("title").select("book", F.col("c").alias("skel"))
-        return headers(edges.withColumn("opening", F.col("opening").cast("int")), titles).where("p >= 0.5").select("id", "ts", "pos", "line", "has")
+        return headers(lines("edge"), titles, lines("inner")).where("p >= 0.5").select("id", "ts", "pos", "line", "has")
 
     def number_lines(self, running: DataFrame) -> DataFrame:
         """id, ts, pos, line of page numbers alone on a line or in a running title."""
         return self.of("edge").where("alone").select("id", "ts", "pos", F.col("a").alias("line")).unionByName(running.where("has").select("id", "ts", "pos", "line"))
 
     def cut_words(self) -> DataFrame:
-        """id, ts, l, r, sign of words cut by an inserted hyphen; r is NULL at the end of the page."""
+        """id, ts, l, r, sign, last, nxt of words cut by an inserted hyphen; at the end of the page (last)
+        r is the rest on the next page (nxt), NULL where it isn't known."""
         clean = lambda c: F.lower(F.regexp_replace(c, r"^[^\p{L}]+|[^\p{L}\p{M}]+$", ""))
-        inner = self.of("cut").select("id", "ts", clean(F.col("a")).alias("l"), clean(F.col("c")).alias("r"), F.col("b").alias("sign"), F.lit(False).alias("last"))
-        nxt = self.of("head").select(F.col("book").alias("bk"), (F.col("page") - 1).alias("p"), F.col("c").alias("h"))
+        inner = self.of("cut").select("id", "ts", clean(F.col("a")).alias("l"), clean(F.col("c")).alias("r"), F.col("b").alias("sign"), F.lit(False).alias("last"), F.lit(None).cast("long").alias("nxt"))
+        nxt = self.of("head").select(F.col("book").alias("bk"), (F.col("page") - 1).alias("p"), F.col("c").alias("h"), F.col("id").alias("nxt"))
         tails = self.of("tail").select("id", "ts", "book", "page", F.col("a").alias("t"), F.col("b").alias("sign"))
-        ends = tails.join(nxt, F.expr("book <=> bk and page = p"), "left").select("id", "ts", clean(F.col("t")).alias("l"), clean(F.col("h")).alias("r"), "sign", F.lit(True).alias("last"))
-        every = materialise(inner.unionByName(ends).where("l <> ''"))
-        judged = hyphens(every.where("not last").select("l", "r", "sign").distinct(), self.words)
-        j = judged.select(F.col("l").alias("jl"), F.col("r").alias("jr"), F.col("sign").alias("js"), "p")
+        ends = tails.join(nxt, F.expr("book <=> bk and page = p"), "left").select("id", "ts", clean(F.col("t")).alias("l"), clean(F.col("h")).alias("r"), "sign", F.lit(True).alias("last"), "nxt")
+        every = materialise(inner.unionByName(ends).where("l <> ''").withColumn("r", F.coalesce("r", F.lit(""))))
+        judged = hyphens(every.select("l", "r", "sign", "last").distinct(), self.words)
+        j = judged.select(F.col("l").alias("jl"), F.col("r").alias("jr"), F.col("sign").alias("js"), F.col("last").alias("jt"), "n_joined", "p")
         j = j.withColumn("s", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-        got = every.where("not last").withColumn("s0", F.pmod(F.xxhash64("id"), F.lit(SALTS)).cast("int")).join(j, F.expr("l = jl and r = jr and sign = js and s0 = s"), "left")
-        within = got.where("not last and p >= 0.5").select("id", "ts", "l", "r", "sign")
-        # At the end of the page the next page's first words are only candidates for the rest,
-        # and a compound cut at its own hyphen is none.
-        last = every.where("last").select("id", "ts", "l", "r", "sign").distinct()
-        n = _counts(last, self.words, {"joined": F.when(F.col("r") != "", F.concat("l", "r")), "whole": F.concat("l", F.lit("-"), "r"), "l": F.col("l")})
-        at_end = n.groupBy("id", "ts", "l", "sign").agg(F.max("n_joined").alias("kn"), F.max("n_whole").alias("cn"), F.max("n_l").alias("ln"))
-        at_end = at_end.where("sign <> '-' or kn > 0 or (cn = 0 and ln < 30)").select("id", "ts", "l", F.lit(None).cast("string").alias("r"), "sign")
-        return within.unionByName(at_end)
+        got = every.withColumn("s0", F.pmod(F.xxhash64("id"), F.lit(SALTS)).cast("int")).join(j, F.expr("l = jl and r = jr and sign = js and last = jt and s0 = s"))
+        # At the end of a page the first words of the next page's lines are candidates: the likeliest counts.
+        best = F.max(F.struct("p", "n_joined", "r", "nxt")).alias("b")
+        at_end = got.where("last").groupBy("id", "ts", "l", "sign").agg(best).where("b.p >= 0.5").select("id", "ts", "l", F.when(F.col("b.n_joined") > 0, F.col("b.r")).alias("r"), "sign", F.lit(True).alias("last"), F.col("b.nxt").alias("nxt"))
+        return got.where("not last and p >= 0.5").select("id", "ts", "l", "r", "sign", "last", "nxt").unionByName(at_end)
 
     def misread_words(self) -> DataFrame:
         """id, ts, word, correction of misread words, from a second pass over the texts."""
@@ -483,7 +529,12 @@ class Scans:
         """id, text: the pages as continuous paragraphs without their noise."""
         running = materialise(self.header_lines())
         drop = self.current(running.select("id", "ts", "line").unionByName(self.number_lines(running).select("id", "ts", "line"))).groupBy("id").agg(F.collect_set("line").alias("drop"))
-        cuts = self.current(self.cut_words().where("r is not null")).groupBy("id").agg(F.collect_set(F.concat_ws("\u0000", "l", "r")).alias("cuts"))
+        every = materialise(self.cut_words().where("r is not null"))
+        # A word that goes on on the next page is completed where it begins and taken off there.
+        over = self.current(every.where("last").select("id", "ts", "l", "r", "nxt"))
+        tail = over.groupBy("id").agg(F.min(F.concat_ws("\u0000", "l", "r")).alias("tail"))
+        head = over.where("nxt is not null").groupBy(F.col("nxt").alias("id")).agg(F.min("r").alias("head"))
+        cuts = self.current(every.where("not last").select("id", "ts", "l", "r")).groupBy("id").agg(F.collect_set(F.concat_ws("\u0000", "l", "r")).alias("cuts"))
         fix = self.current(self.misread_words()).groupBy("id").agg(F.map_from_entries(F.collect_set(F.struct("word", "correction"))).alias("fix"))
         texts = latest(self.rows, ["id"], F.col("ts"), ["id", "text"])
 
@@ -491,19 +542,33 @@ class Scans:
             for pdf in batches:
                 if not len(pdf):
                     continue
-                yield pd.DataFrame({"id": pdf["id"], "text": [None if t is None else clean(t, set(d if d is not None else ()), set(c if c is not None else ()), dict(f if f is not None else ())) for t, d, c, f in zip(pdf["text"], pdf["drop"], pdf["cuts"], pdf["fix"])]})
+                yield pd.DataFrame({"id": pdf["id"], "text": [None if t is None else clean(t, set(d if d is not None else ()), set(c if c is not None else ()), dict(f if f is not None else ()), a, b) for t, d, c, f, a, b in zip(pdf["text"], pdf["drop"], pdf["cuts"], pdf["fix"], pdf["tail"], pdf["head"])]})
+
+        for more in (drop, cuts, fix, tail, head):
+            texts = texts.join(more, "id", "left")
+        return texts.select("id", "text", "drop", "cuts", "fix", "tail", "head").mapInPandas(run, "id long, text string")
 
-        return texts.join(drop, "id", "left").join(cuts, "id", "left").join(fix, "id", "left").select("id", "text", "drop", "cuts", "fix").mapInPandas(run, "id long, text string")
 
+def clean(text: str, drop: set[str], cuts: set[str], fix: dict[str, str], tail: str | None = None, head: str | None = None) -> str:
+    """One page: furniture taken off, cut words joined, misread words corrected, lines run on.
 
-def clean(text: str, drop: set[str], cuts: set[str], fix: dict[str, str]) -> str:
-    """One page: furniture taken off, cut words joined, misread words corrected, lines run on."""
+    tail: a word cut at the end of the page and its rest; head: a rest that belongs to the page before."""
     lines = text.replace("\r\n", "\n").split("\n")
     full = [i for i, x in enumerate(lines) if x.strip()]
     for i in {*full[:2], *full[-2:]}:
         if lines[i].strip() in drop:
             lines[i] = ""
     edge = re.compile(r"^[^\w]+|[^\w]+$")
+    body = [i for i, x in enumerate(lines) if x.strip()]
+    if body and isinstance(tail, str):
+        left, _, right = tail.partition("\0")
+        m = _TAIL.search(lines[body[-1]])
+        if m and edge.sub("", m[1]).lower() == left:
+            lines[body[-1]] = lines[body[-1]][: m.start(2)] + right
+    if body and isinstance(head, str):
+        first, *rest = lines[body[0]].strip().split(None, 1)
+        if edge.sub("", first).lower() == head:
+            lines[body[0]] = rest[0] if rest else ""
 
     def join(m: re.Match) -> str:
         key = edge.sub("", m[1]).lower() + "\0" + edge.sub("", m[3]).lower()

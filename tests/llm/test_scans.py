@@ -1,6 +1,8 @@
 import random
 
+import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from scriptorium.llm import scans as S
 
@@ -81,6 +83,42 @@ def test_clean():
     assert S.clean(t, {"The Title   4", "— 4 —"}, {"peace\0ful"}, {"r!ver": "river"}) == "The river is peaceful and well-known.\n\nA new day."
 
 
+def test_word_cut_at_the_end_of_a_page(spark):
+    """The word is completed where it begins, and its rest taken off the next page."""
+    assert S.clean("Peace and kind-\n— 4 —", {"— 4 —"}, set(), {}, "kind\0ness", None) == "Peace and kindness"
+    assert S.clean("The Title\nness grows.", {"The Title"}, set(), {}, None, "ness") == "grows."
+    r = random.Random(4)
+    rows = [(i, 1, 2, i, page(r, 2, i)[0]) for i in range(60)]
+    rows += [(200, 1, 7, 1, "The teacher of the village walks in silence and kind-"), (201, 1, 7, 2, "ness to the temple and the river grows. The garden of the village is a lesson.")]
+    x = S.Scans(frame(spark, rows))
+    assert (200, "hyphen") in {(n.id, n.noise) for n in x.noise().collect()}
+    done = {c.id: c.text for c in x.cleaned().collect()}
+    assert done[200].endswith("silence and kindness") and done[201].startswith("to the temple")
+
+
+def test_models_decide(spark, monkeypatch):
+    """Models that always say no leave no running titles, no misread words and few cut words."""
+    x = S.Scans(S._pages(spark, "/root/testdata/sf0.01"))
+
+    def kinds():
+        return {r.noise: r.n for r in x.noise().groupBy("noise").agg(F.count("*").alias("n")).collect()}
+
+    have = kinds()
+    monkeypatch.setattr(S, "Boosted", type("No", (), {"__init__": lambda self, *a, **k: None, "predict": lambda self, x: np.zeros(len(x))}))
+    left = kinds()
+    assert have["header"] > 100 and have["misread"] > 50 and have["hyphen"] > 50
+    assert "header" not in left and "misread" not in left and left["hyphen"] < 0.8 * have["hyphen"]
+
+
+def test_long_words_and_lines(spark):
+    """Neither the length of a word nor of a line keeps it from being looked at."""
+    word = "antidisestablishment" * 3
+    words = [(word, 300), (word.replace("m", "rn", 1), 2)] + [(w, 30) for w in WORDS]
+    got = {r.word: r.correction for r in S.misread(spark.createDataFrame(words, "word string, n long")).collect()}
+    assert got[word.replace("m", "rn", 1)] == word
+    assert S.furniture("The Song of Hills and " * 20 + "End   22")[2]
+
+
 def test_misread_word_cut_at_a_line_end(spark):
     r = random.Random(3)
     rows = [(i, 1, 2, i, page(r, 2, i)[0]) for i in range(100)]

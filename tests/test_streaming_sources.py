@@ -13,7 +13,8 @@ def test_restartable_upsert(spark, tmp_path):
     spark.createDataFrame([(2, "B"), (3, "c")], schema).coalesce(1).write.mode("append").parquet(src)
     assert restart.load_new_files(spark, src, schema, to, ["k"], ck) == 1
     assert restart.load_new_files(spark, src, schema, to, ["k"], ck) == 0
-    assert sorted(map(tuple, spark.read.parquet(f"{to}/v1").collect())) == [(1, "a"), (2, "B"), (3, "c")]
+    assert sorted(map(tuple, restart.merged(spark, to, schema, ["k"]).collect())) == [(1, "a"), (2, "B"), (3, "c")]
+    assert spark.read.parquet(restart.compact(spark, to, schema, ["k"], str(tmp_path / "whole"))).count() == 3
 
 
 def test_stream_and_table_windows_agree(spark, sf, tmp_path):

@@ -4,8 +4,10 @@ from __future__ import annotations
 
 import base64
 import functools
+import os
 
 import pandas as pd
+from pyspark import SparkFiles
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -27,12 +29,20 @@ def encoder(path: str = RANKS):
     return tiktoken.Encoding("public", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
 
 
+def _here(path: str) -> str:
+    """The file as it lies on this machine: at its path, else where the job's files were sent."""
+    return path if os.path.exists(path) else SparkFiles.get(os.path.basename(path))
+
+
 def count_tokens(docs: DataFrame, keep: list[str], path: str = RANKS) -> DataFrame:
-    """The ``keep`` columns and ``tokens``; a NULL text has no tokens (NULL), an empty one 0."""
+    """The ``keep`` columns and ``tokens``; a NULL text has no tokens (NULL), an empty one 0.
+
+    The tokenizer's file is sent to the executors with the job."""
+    docs.sparkSession.sparkContext.addFile(path)
     kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.select(*keep).schema)
 
     def run(batches):
-        enc = encoder(path)
+        enc = encoder(_here(path))
         for pdf in batches:
             n = [None if t is None else len(enc.encode_ordinary(t)) for t in pdf["text"]]
             yield pdf[keep].assign(tokens=pd.array(n, dtype="Int64"))

@@ -183,7 +183,7 @@ QUERIES = {
     "import_page_labels": lambda s, d: _second(s, d)["page_map"],
     "vector_topk_all": lambda s, d: N.top_k_all(load(s, d, "embeddings"), load(s, d, "embeddings").where("vec_id % 50 = 0"), 5).select("vec_id", "neighbour", "place"),
     "vector_topk_terms": lambda s, d: N.with_rows(N.top_k_all(_vectors(s, d), _vectors(s, d).where("glossary_id % 50 = 0"), 3, "glossary_id"), V.glossary(s, d).select("glossary_id", "term"), "glossary_id").select("glossary_id", "neighbour", "place", "term"),
-    "vector_upsert": lambda s, d: M.upsert(load(s, d, "embeddings").select("vec_id", F.col("embedding")[0].alias("first")), load(s, d, "embeddings").where("vec_id % 3 = 0").select((F.col("vec_id") * 2).alias("vec_id"), (F.col("embedding")[0] + 1).alias("first")), ["vec_id"]).select("vec_id", F.round("first", 5).alias("first")),
+    "vector_upsert": lambda s, d: M.upsert(load(s, d, "embeddings").select("vec_id", F.col("embedding")[0].cast("double").alias("first")), load(s, d, "embeddings").where("vec_id % 3 = 0").select((F.col("vec_id") * 2).alias("vec_id"), (F.col("embedding")[0].cast("double") + 1).alias("first")), ["vec_id"]),
 }
 
 _SP = "sp AS MATERIALIZED (SELECT *, line_no * 12.0::DOUBLE AS y0, line_no * 12.0::DOUBLE + 10 AS y1, CASE line_no % 6 WHEN 0 THEN 'AARitu' WHEN 1 THEN 'Serif-Bold' WHEN 2 THEN 'Sanskrit 99' ELSE 'Serif' END AS font, CASE WHEN line_no = 0 THEN 15 WHEN line_no % 6 = 1 THEN 13 ELSE 10 END AS size FROM (SELECT book_id, page_number, content_id AS page_id, i - 1 AS line_no, string_split(page_content, chr(10))[i] AS text FROM c_content, unnest(range(1, len(string_split(page_content, chr(10))) + 1)) AS r(i) WHERE page_content IS NOT NULL))"
@@ -287,7 +287,7 @@ def _oracle() -> dict[str, str]:
         "toc_messages": f"WITH v AS MATERIALIZED ({library.ORACLE['toc_validation']}) SELECT book_id, 'no entries of the first level' AS message FROM v WHERE level_one = 0 UNION ALL SELECT book_id, 'entries without a label' FROM v WHERE no_label > 0 UNION ALL SELECT book_id, 'entries whose parent is missing' FROM v WHERE orphaned > 0 UNION ALL SELECT book_id, 'entries without a page' FROM v WHERE own_page + computed_page < total",
         "toc_error_report": f"WITH e AS MATERIALIZED ({library.ORACLE['toc_backfill_errors']}) SELECT book_id AS book, -1 AS item, 0 AS part, concat('Book ', coalesce(CAST(book_id AS VARCHAR), '-'), ': ', count(*), ' unresolved') AS line FROM e GROUP BY book_id UNION ALL SELECT book_id, toc_id, 0, concat('  toc_id: ', toc_id) FROM e UNION ALL SELECT book_id, toc_id, 1, concat('  toc_level: ', coalesce(CAST(toc_level AS VARCHAR), '-')) FROM e",
         "vector_topk_all": f"SELECT a.vec_id, b.vec_id AS neighbour, row_number() OVER (PARTITION BY a.vec_id ORDER BY {_COS} DESC, b.vec_id) AS place FROM embeddings a JOIN embeddings b ON b.vec_id <> a.vec_id WHERE a.vec_id % 50 = 0 QUALIFY place <= 5",
-        "vector_upsert": "SELECT coalesce(o.vec_id, n.vec_id) AS vec_id, round(coalesce(n.first, o.first), 5) AS first FROM (SELECT vec_id, CAST(embedding[1] AS DOUBLE) AS first FROM embeddings) o FULL JOIN (SELECT vec_id * 2 AS vec_id, CAST(embedding[1] + 1 AS DOUBLE) AS first FROM embeddings WHERE vec_id % 3 = 0) n ON n.vec_id = o.vec_id",
+        "vector_upsert": "SELECT coalesce(o.vec_id, n.vec_id) AS vec_id, coalesce(n.first, o.first) AS first FROM (SELECT vec_id, CAST(embedding[1] AS DOUBLE) AS first FROM embeddings) o FULL JOIN (SELECT vec_id * 2 AS vec_id, CAST(embedding[1] AS DOUBLE) + 1 AS first FROM embeddings WHERE vec_id % 3 = 0) n ON n.vec_id = o.vec_id",
         "full_page_types": _TYPES
         + ", u AS (SELECT *, coalesce(book_id % 3 = 0 AND page_number BETWEEN 8 AND 11, false) AS vin, coalesce(book_id % 2 = 0 AND page_number BETWEEN 6 AND 8, false) AS gin FROM ty), w AS (SELECT *, CASE WHEN vin THEN 'Verse Index' WHEN gin THEN 'Glossary' ELSE ot END AS t2, inr OR vin OR gin AS anyr FROM u), xi AS (SELECT w.*, CASE WHEN t2 = 'Core' AND m.book_id IS NOT NULL THEN CASE WHEN w.page_number % 8 = 0 THEN 'high' ELSE 'medium' END END AS im FROM w LEFT JOIN (SELECT * FROM c_map WHERE page_number % 4 = 0) m ON m.book_id = w.book_id AND m.page_number = w.page_number)"
         + " SELECT book_id, page_number, CASE WHEN em THEN 'Empty' WHEN pub >= 6 AND NOT anyr THEN 'Publisher Info' WHEN im IS NOT NULL THEN 'Image Page' ELSE t2 END AS page_type, CASE WHEN em THEN 'high' WHEN pub >= 6 AND NOT anyr THEN CASE WHEN pub >= 9 THEN 'high' ELSE 'medium' END WHEN im IS NOT NULL THEN im WHEN anyr THEN 'high' WHEN b THEN 'medium' ELSE 'low' END AS confidence, CAST(CASE WHEN em THEN 9 WHEN pub >= 6 AND NOT anyr THEN pub WHEN im IS NOT NULL THEN 8 WHEN anyr THEN 10 WHEN b THEN 6 ELSE 3 END AS DOUBLE) AS score, t2 AS original_type FROM xi",

@@ -24,7 +24,8 @@ from ..tables import latest, load, recency
 
 K = 5
 DIM = 96
-TABLES = 2
+TABLES = 2  # tables up to BITS bits; one more for each MORE bits beyond, as buckets get narrower
+BITS, MORE = 8, 2
 PROBES = 2
 BUCKET = 512  # vectors for each bucket, on average, before probes
 HOT = 16_384  # a larger bucket is compared in parts of this size
@@ -191,7 +192,7 @@ def _compare_hot(rows: DataFrame, k: int, dim: int, hot: int) -> DataFrame:
     return met.groupBy("bucket", "lo", "hi").applyInPandas(_across(k, dim), "id long, neighbour long, sim float").unionByName(copies)
 
 
-def knn(packed: DataFrame, n: int, *, k: int = K, dim: int = DIM, tables: int = TABLES, probes: int = PROBES, hot: int = HOT, bucket: int = BUCKET, seed: int = SEED) -> DataFrame:
+def knn(packed: DataFrame, n: int, *, k: int = K, dim: int = DIM, tables: int | None = None, probes: int = PROBES, hot: int = HOT, bucket: int = BUCKET, seed: int = SEED) -> DataFrame:
     """packed: id (unique), packed; n: about how many. Returns id, neighbour, sim, rank (1 to k).
 
     Approximate: the share of true neighbours found is measured in the tests (0.9 at least). Equal
@@ -199,6 +200,8 @@ def knn(packed: DataFrame, n: int, *, k: int = K, dim: int = DIM, tables: int =
     empty table gives none.
     """
     bits = max(1, int(math.log2(max(2, n / bucket))))
+    if tables is None:
+        tables = TABLES + max(0, bits - BITS + MORE - 1) // MORE
     sizes = _assign(packed, dim, bits, tables, probes, seed, False).groupBy("bucket").agg(F.count("*").alias("_n"))
     big = sizes.where(F.col("_n") > hot)
     rows = _assign(packed, dim, bits, tables, probes, seed, True)

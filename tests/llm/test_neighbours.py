@@ -71,3 +71,18 @@ def test_dense_cluster_larger_than_hot(spark, cosine):
     for i in range(2):
         copies = [i, *range(3000 + 12 * i, 3012 + 12 * i)]
         assert all(got[j] <= set(copies) and len(got[j]) == 5 for j in copies)
+
+
+def test_recall_holds_as_buckets_get_narrower(spark):
+    """As many bits as a much larger collection has: more tables make up for it."""
+    v = N.current_vectors(spark, "/root/testdata/sf0.1")
+    p = v.toPandas()
+    ids, u = p["id"].to_numpy(), N._unpack(p["packed"], N.DIM)
+    q = np.flatnonzero(ids % 50 == 0)
+    s = u[q] @ u.T
+    s[np.arange(len(q)), q] = -2
+    true = dict(zip(ids[q].tolist(), (set(ids[t].tolist()) for t in np.argpartition(-s, 5, axis=1)[:, :5])))
+    got = {}
+    for r in N.knn(v, len(ids), bucket=16).where("id % 50 = 0").collect():
+        got.setdefault(r.id, set()).add(r.neighbour)
+    assert np.mean([len(true[k] & got.get(k, set())) / 5 for k in true]) >= 0.95

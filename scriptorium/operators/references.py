@@ -14,7 +14,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-RANGES = 4096  # key ranges of the dictionary
+RANGES = 4096  # key ranges of the dictionary, at least
+RANGE_ROWS = 20_000  # rows of either table in a range, about
 SALTS = 16  # ways in which the rows of one hot key are spread
 
 
@@ -23,6 +24,11 @@ def trimmed_label(label: Column) -> Column:
     return F.lower(F.regexp_replace(label, r"(?U)^\s+|\s+$", ""))
 
 
+def ranges_for(rows: int) -> int:
+    """Key ranges for tables of so many rows: a range stays small whatever their size."""
+    return max(RANGES, rows // RANGE_ROWS)
+
+
 def _period(ts: Column) -> Column:
     """Month as yyyymm; 0, before all others, where the time is missing."""
     return F.coalesce(F.year(ts) * 100 + F.month(ts), F.lit(0))

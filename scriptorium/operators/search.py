@@ -76,7 +76,10 @@ def search_content(content: DataFrame, book: DataFrame, page_map: DataFrame, ter
     c = content.where(F.col("page_content").ilike(f"%{term}%"))
     if books:
         c = c.where(F.col("book_id").isin(books))
-    return c.join(book.select("book_id", "original_book_title", "english_book_title"), "book_id").join(page_map.select("book_id", "page_number", "page_label"), ["book_id", "page_number"], "left").select("book_id", F.coalesce("english_book_title", "original_book_title").alias("title"), "page_number", "page_label", F.length("page_content").alias("chars"))
+    # The text itself goes through no join.
+    c = c.select("book_id", "page_number", F.length("page_content").alias("chars"))
+    named = book.select("book_id", F.coalesce("english_book_title", "original_book_title").alias("title"))
+    return c.join(named, "book_id").join(page_map.select("book_id", "page_number", "page_label"), ["book_id", "page_number"], "left").select("book_id", "title", "page_number", "page_label", "chars")
 
 
 def verse_locations(verses: DataFrame, book: DataFrame, term: str) -> DataFrame:

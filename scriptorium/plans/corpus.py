@@ -28,7 +28,9 @@ def vector_references(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, Data
 
 def _orphans(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     parts = [label_references(spark, sf_dir), vector_references(spark, sf_dir)]
-    found = [references.orphans(r, p, ["k1", "k2"]) for r, p in parts]
+    # Read from the files' footers.
+    rows = [sum(load(spark, sf_dir, t).count() for t in both) for both in (("table_of_contents", "page_map"), ("glossary_embeddings", "glossary"))]
+    found = [references.orphans(r, p, ["k1", "k2"], ranges=references.ranges_for(n)) for (r, p), n in zip(parts, rows)]
     return found[0].unionByName(found[1]), parts[0][0].unionByName(parts[1][0])
 
 
